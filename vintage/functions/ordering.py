@@ -1,0 +1,113 @@
+"""Version numbers and previous values when one group may hold a large share of all rows.
+
+A window puts a whole group into one task. Groups above ``hot_rows`` rows are therefore cut into
+slices of the sort order, numbered slice by slice, and completed with what precedes each slice.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from vintage.functions.columns import same_keys
+from vintage.session import pin
+
+HOT_ROWS = 1_000_000
+MAX_HOT_GROUPS = 10_000
+
+
+def hot_groups(df: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Groups of more than ``hot_rows`` rows with their size ``n``, or None.
+
+    The counts are combined before the shuffle. At most ``rows / hot_rows`` groups can qualify; if
+    that is still more than fits the driver the bound is raised, so the list stays small.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    while True:
+        found = sizes.where(F.col("n") > hot_rows).limit(MAX_HOT_GROUPS + 1).collect()
+        if not found:
+            return None
+        if len(found) <= MAX_HOT_GROUPS:
+            return df.sparkSession.createDataFrame(found, sizes.schema)
+        hot_rows *= 10
+
+
+def with_versions(
+    df: DataFrame,
+    keys: tuple[str, ...],
+    order: tuple[str, ...],
+    value: str,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Add ``version_number`` and ``previous_value`` of ``value`` per group of ``keys``.
+
+    Copies (rows equal in every column) of a hot group come back as one row holding the version
+    number of the first copy.
+    """
+    hot = hot_groups(df, keys, hot_rows)
+    if hot is None:
+        return _numbered(df, keys, order, value)
+    # At most MAX_HOT_GROUPS rows, see hot_groups.
+    listed = F.broadcast(hot.select(*keys))
+    cold = df.join(listed, same_keys(df, listed, keys), "left_anti")
+    big = df.join(listed, same_keys(df, listed, keys), "left_semi")
+    slices = math.ceil(hot.agg(F.sum("n")).first()[0] / hot_rows) + 1
+    return _numbered(cold, keys, order, value).unionByName(
+        _numbered_in_slices(big, keys, order, value, slices)
+    )
+
+
+def _ascending(order: tuple[str, ...]) -> list:
+    return [F.col(c).asc_nulls_last() for c in order]
+
+
+def _numbered(df: DataFrame, keys, order, value) -> DataFrame:
+    # Both functions share one specification: one exchange, one sort, one pass.
+    versions = Window.partitionBy(*keys).orderBy(*_ascending(order))
+    return df.select(
+        "*",
+        F.row_number().over(versions).cast("bigint").alias("version_number"),
+        F.lag(value).over(versions).alias("previous_value"),
+    )
+
+
+def _numbered_in_slices(df: DataFrame, keys, order, value, slices: int) -> DataFrame:
+    columns = df.columns
+    # Copies collapse before the shuffle; they are adjacent in the order and share one value.
+    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    # Range bounds are drawn from the data, so the slice of a row must be fixed before it is used.
+    sliced = pin(
+        rows.repartitionByRange(slices, *[F.col(k) for k in keys], *_ascending(order)).withColumn(
+            "_slice", F.spark_partition_id()
+        )
+    )
+    within = Window.partitionBy("_slice", *keys).orderBy(*_ascending(order))
+    up_to_here = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = sliced.select(
+        "*",
+        F.row_number().over(within).alias("_position"),
+        F.sum("_copies").over(up_to_here).alias("_seen"),
+        F.lag(value).over(within).alias("_previous"),
+    )
+    ends = local.groupBy("_slice", *keys).agg(
+        F.max("_seen").alias("_rows"), F.max_by(value, "_seen").alias("_last")
+    )
+    # One row per slice and group: no more than slices + hot groups, hence broadcast below.
+    earlier = Window.partitionBy(*keys).orderBy("_slice")
+    starts = ends.select(
+        "_slice",
+        *keys,
+        F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.lag("_last").over(earlier).alias("_last_before"),
+    )
+    starts = F.broadcast(starts)
+    on = same_keys(local, starts, ("_slice", *keys))
+    return local.join(starts, on, "inner").select(
+        *[local[c] for c in columns],
+        (F.coalesce("_before", F.lit(0)) + F.col("_seen") - F.col("_copies") + 1).alias("version_number"),
+        F.when(F.col("_position") == 1, F.col("_last_before"))
+        .otherwise(F.col("_previous"))
+        .alias("previous_value"),
+    )
