@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,12 +85,15 @@ def ntz(moment: datetime | str) -> Column:
     return F.lit(moment).cast("timestamp_ntz")
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> Column:
-    """Null-safe equality on every key, for joins that treat nulls as one group."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+def join_on_equal_or_null(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str, small: bool = False) -> DataFrame:
+    """Join in which two null keys are equal; the keys of ``right`` are not repeated in the result.
+
+    ``small`` broadcasts ``right`` and is for tables whose size the caller has bounded.
+    """
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    joined = left.join(F.broadcast(named) if small else named, condition, how)
+    return joined.drop(*[f"_right_{k}" for k in keys])
 
 
 def lower_columns(df: DataFrame) -> DataFrame:

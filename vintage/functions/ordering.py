@@ -11,11 +11,12 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintage.functions.columns import same_keys
+from vintage.functions.columns import join_on_equal_or_null
 from vintage.session import pin
 
 HOT_ROWS = 1_000_000
 MAX_HOT_GROUPS = 10_000
+MAX_SLICES = 20_000
 
 
 def hot_groups(df: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -49,11 +50,11 @@ def with_versions(
     hot = hot_groups(df, keys, hot_rows)
     if hot is None:
         return _numbered(df, keys, order, value)
-    # At most MAX_HOT_GROUPS rows, see hot_groups.
-    listed = F.broadcast(hot.select(*keys))
-    cold = df.join(listed, same_keys(df, listed, keys), "left_anti")
-    big = df.join(listed, same_keys(df, listed, keys), "left_semi")
-    slices = math.ceil(hot.agg(F.sum("n")).first()[0] / hot_rows) + 1
+    # Small: at most MAX_HOT_GROUPS rows, see hot_groups.
+    listed = hot.select(*keys)
+    cold = join_on_equal_or_null(df, listed, keys, "left_anti", small=True)
+    big = join_on_equal_or_null(df, listed, keys, "left_semi", small=True)
+    slices = min(math.ceil(hot.agg(F.sum("n")).first()[0] / hot_rows) + 1, MAX_SLICES)
     return _numbered(cold, keys, order, value).unionByName(
         _numbered_in_slices(big, keys, order, value, slices)
     )
@@ -94,7 +95,7 @@ def _numbered_in_slices(df: DataFrame, keys, order, value, slices: int) -> DataF
     ends = local.groupBy("_slice", *keys).agg(
         F.max("_seen").alias("_rows"), F.max_by(value, "_seen").alias("_last")
     )
-    # One row per slice and group: no more than slices + hot groups, hence broadcast below.
+    # Small: a slice holds whole groups but for its first and last, so slices + hot groups rows.
     earlier = Window.partitionBy(*keys).orderBy("_slice")
     starts = ends.select(
         "_slice",
@@ -102,10 +103,8 @@ def _numbered_in_slices(df: DataFrame, keys, order, value, slices: int) -> DataF
         F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
         F.lag("_last").over(earlier).alias("_last_before"),
     )
-    starts = F.broadcast(starts)
-    on = same_keys(local, starts, ("_slice", *keys))
-    return local.join(starts, on, "inner").select(
-        *[local[c] for c in columns],
+    return join_on_equal_or_null(local, starts, ("_slice", *keys), "inner", small=True).select(
+        *columns,
         (F.coalesce("_before", F.lit(0)) + F.col("_seen") - F.col("_copies") + 1).alias("version_number"),
         F.when(F.col("_position") == 1, F.col("_last_before"))
         .otherwise(F.col("_previous"))

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintage.functions.columns import percent, same_keys
+from vintage.functions.columns import join_on_equal_or_null, percent
 
 SAMPLE_SIZE = 20
 
@@ -195,9 +195,8 @@ def violations(df: DataFrame, rule: Rule) -> DataFrame:
     if not rule.by_key:
         return df.where(rule.unexpected())
     checked = df.where(rule.evaluated())
-    repeated = duplicate_keys(checked, rule.columns).select(*[F.col(c).alias(f"_{c}") for c in rule.columns])
-    on = reduce(Column.__and__, [checked[c].eqNullSafe(repeated[f"_{c}"]) for c in rule.columns])
-    return checked.join(repeated, on, "left_semi")
+    repeated = duplicate_keys(checked, rule.columns).select(*rule.columns)
+    return join_on_equal_or_null(checked, repeated, rule.columns, "left_semi")
 
 
 def sample_violations(df: DataFrame, rule: Rule, order: tuple[str, ...], n: int = SAMPLE_SIZE) -> DataFrame:

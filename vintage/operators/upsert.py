@@ -70,9 +70,13 @@ def upsert_table(spark: SparkSession, table: str, source_table: str, keys: tuple
     # As many values as the batch has partitions, normally one.
     touched = [row[0] for row in source.select(partition).distinct().collect()]
     target = session.table(table).where(F.col(partition).isin(touched))
-    conflict = ambiguous_keys(target, source, keys).first()
-    if conflict is not None:
-        raise AmbiguousMatch(f"{table}: {conflict.asDict()} is stored and occurs more than once in the batch")
+    rows = source.select(*target.columns)
+    # A new run, the normal case, has nothing stored yet: no partition to read, nothing to match.
+    if not target.isEmpty():
+        conflict = ambiguous_keys(target, source, keys).first()
+        if conflict is not None:
+            raise AmbiguousMatch(f"{table}: {conflict.asDict()} is stored and occurs more than once in the batch")
+        rows = merge_rows(target, rows, keys)
     sort = tuple(k for k in reversed(keys) if k != partition)
-    replace_partitions(merge_rows(target, source.select(*target.columns), keys), table, partition, sort)
+    replace_partitions(rows, table, partition, sort)
     spark.catalog.refreshTable(table)

@@ -22,7 +22,8 @@ def first_per_group(df: DataFrame, keys: tuple[str, ...], order: list) -> DataFr
 
 
 def latest(df: DataFrame, keys: tuple[str, ...], version_cols: tuple[str, ...]) -> DataFrame:
-    return first_per_group(df, keys, [F.col(c).desc_nulls_last() for c in version_cols])
+    """The last row per group in the order of ``version_cols`` (nulls count as largest)."""
+    return first_per_group(df, keys, [F.col(c).desc_nulls_first() for c in version_cols])
 
 
 def latest_as_of(
