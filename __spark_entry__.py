@@ -386,11 +386,28 @@ def lowered(spark, sf_dir):
 # --- whole runs ---
 
 
+def _append(rows: DataFrame, feed: Feed, layers: Layers) -> None:
+    table = layers.raw_table(feed)
+    _raw_rows(rows, feed).select(*rows.sparkSession.table(table).columns).write.insertInto(table)
+
+
+def refresh_models(spark, sf_dir):
+    """Models built on what was known before CUT, then refreshed for the runs that reported since."""
+    layers = _layers(spark)
+    reports = _reports(spark, sf_dir)
+    early, late = F.col("ingested_at") < ntz(CUT), F.col("ingested_at") >= ntz(CUT)
+    _append(reports.where(early), DEATHS, layers)
+    models.build_models(spark, layers)
+    _append(reports.where(late), DEATHS, layers)
+    runs = [row[0] for row in reports.where(late).select("run_id").distinct().collect()]
+    built = models.refresh_models(spark, runs, layers)
+    return spark.table(built["fct_revision_history"])
+
+
 def materialize_models(spark, sf_dir):
     layers = _layers(spark)
-    for feed, rows in ((DEATHS, _reports(spark, sf_dir)), (ACTIVITY, _activity(spark, sf_dir))):
-        table = layers.raw_table(feed)
-        _raw_rows(rows, feed).select(*spark.table(table).columns).write.insertInto(table)
+    _append(_reports(spark, sf_dir), DEATHS, layers)
+    _append(_activity(spark, sf_dir), ACTIVITY, layers)
     ledger.append_log(ledger.with_log_id(_logs(spark, sf_dir)), layers)
     built = models.build_models(spark, layers)
     layer_of = dict(zip(layers.databases(), ("raw", "staging", "marts", "observability")))
@@ -487,6 +504,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "failure_alerts": failure_alerts,
         "lower_columns": lowered,
         "materialize_models": materialize_models,
+        "refresh_models": refresh_models,
         "feed_run_deaths": feed_run_deaths,
         "feed_run_activity": feed_run_activity,
     }
@@ -519,6 +537,16 @@ def _latest_sql(source: str, keys: str, columns: str, where: str = "true") -> st
     """
 
 
+def _revisions_sql(number: str) -> str:
+    return f"""
+        SELECT snapshot_date, state, ingested_at, run_id, cast(version_number AS {number}) AS version_number,
+               previous_value, covid_19_deaths AS current_value, covid_19_deaths - previous_value AS revision_delta
+        FROM (SELECT *, row_number() OVER w AS version_number, lag(covid_19_deaths) OVER w AS previous_value
+              FROM reports WINDOW w AS (PARTITION BY snapshot_date, state ORDER BY ingested_at, run_id))
+        WHERE previous_value IS NOT NULL AND covid_19_deaths <> previous_value
+    """
+
+
 def _rule_sql(no: int, rule: str, columns: str, source: str, evaluated: str, unexpected: str, mostly: float = 1.0) -> str:
     return f"""
         SELECT cast({no} AS int) AS rule_no, '{rule}' AS rule, '{columns}' AS "columns",
@@ -735,13 +763,7 @@ def oracle_sql() -> dict[str, str]:
         "latest_as_of": _with(
             _latest_sql("reports", "snapshot_date, state", fact_columns, f"ingested_at <= TIMESTAMP '{AS_OF}'")
         ),
-        "revision_history": _with(f"""
-            SELECT snapshot_date, state, ingested_at, run_id, cast(version_number AS int) AS version_number,
-                   previous_value, covid_19_deaths AS current_value,
-                   covid_19_deaths - previous_value AS revision_delta
-            FROM (SELECT *, row_number() OVER w AS version_number, lag(covid_19_deaths) OVER w AS previous_value
-                  FROM reports WINDOW w AS (PARTITION BY snapshot_date, state ORDER BY ingested_at, run_id))
-            WHERE previous_value IS NOT NULL AND covid_19_deaths <> previous_value"""),
+        "revision_history": _with(_revisions_sql("int")),
         "as_reported": _with(f"SELECT {fact_columns} FROM reports"),
         "stg_deaths": _with(f"SELECT {_DEATHS_COLUMNS} FROM reports"),
         "stg_activity": _with(f"SELECT {_ACTIVITY_COLUMNS} FROM activity"),
@@ -838,6 +860,7 @@ def oracle_sql() -> dict[str, str]:
             FROM logs WHERE status = 'failure'"""),
         "lower_columns": "SELECT * FROM events",
         "materialize_models": _with(_materialized_sql()),
+        "refresh_models": _with(_revisions_sql("bigint")),
         "feed_run_deaths": _with(_feed_run_deaths_sql()),
         "feed_run_activity": _with(_load_log(
             "run_weekly", ACTIVITY.pipeline, "daily", extract="success", load="success", validate="failure"

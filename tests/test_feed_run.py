@@ -9,7 +9,7 @@ from vintage.feeds import ACTIVITY, DEATHS
 from vintage.operators.rules import ValidationFailed
 from vintage.plans import feed_run
 from vintage.plans.feed_run import judge_run, run_feed, run_feeds
-from vintage.plans.models import MARTS, MODEL_TESTS, STAGING, VIEWS, build_models, relation_name, run_model_tests
+from vintage.plans.models import MARTS, MODEL_TESTS, STAGING, VIEWS, build_models, refresh_models, relation_name, run_model_tests
 from vintage.sources.ledger import failure_alerts, only_passed
 from vintage.streaming.ingest import stream_ingest
 
@@ -139,6 +139,32 @@ def test_models(spark, layers, tmp_path):
     assert spark.table(passed["fct_cases_latest"]).where("state = 'Guam'").isEmpty()
 
 
+def test_refresh_equals_full_build(spark, layers, tmp_path):
+    sentinel = replace(DEATHS, sentinel=None)
+    one_run = lambda name, *records: run_feed(
+        spark, sentinel, land(tmp_path / name, "lines", list(records)), layers, run_id=name, lookback_days=400)
+    one_run("run_1", *backfill())
+    names = build_models(spark, layers)
+    one_run("run_2", feed_week(WEEKS[-1], 50), feed_week(WEEKS[-2], 10, "Guam"))
+    one_run("run_3", feed_week(WEEKS[-1], 51), feed_week("2026-09-05", 5, "Ohio"))
+    contents = lambda: {m: tuples(spark.table(names[m]), *sorted(spark.table(names[m]).columns)) for m in MARTS}
+    refresh_models(spark, ["run_2", "run_3"], layers)
+    refreshed = contents()
+    build_models(spark, layers)
+    assert refreshed == contents()
+    assert [len(refreshed[m]) for m in MARTS] == [28, 26, 2, 3]
+    # The same run again with the old values: its revisions disappear.
+    values = {r["state"]: r["covid_19_deaths"] for r in spark.table(layers.raw_table(DEATHS)).where(
+        "run_id = 'run_1' and snapshot_date = date'2026-08-17'").collect()}
+    one_run("run_2", feed_week(WEEKS[-1], values["United States"]))
+    one_run("run_3", feed_week(WEEKS[-1], values["United States"]))
+    refresh_models(spark, ["run_2", "run_3"], layers)
+    refreshed = contents()
+    build_models(spark, layers)
+    assert refreshed == contents() and refreshed["fct_revision_history"] == []
+    assert [t.name for t in spark.catalog.listTables(layers.marts) if "staging" in t.name] == []
+
+
 def test_schema_names_are_used_as_declared():
     assert relation_name(" marts ", "m", "dev") == "marts.m"
     assert relation_name(None, "m", "dev") == "dev.m"

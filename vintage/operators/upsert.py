@@ -77,6 +77,5 @@ def upsert_table(spark: SparkSession, table: str, source_table: str, keys: tuple
         if conflict is not None:
             raise AmbiguousMatch(f"{table}: {conflict.asDict()} is stored and occurs more than once in the batch")
         rows = merge_rows(target, rows, keys)
-    sort = tuple(k for k in reversed(keys) if k != partition)
-    replace_partitions(rows, table, partition, sort)
+    replace_partitions(rows, table, partition, tuple(k for k in keys if k != partition))
     spark.catalog.refreshTable(table)

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.feeds import ACTIVITY, ACTIVITY_LEVELS, DEATHS, Feed
-from vintage.functions.columns import surrogate_key
+from vintage.functions.columns import surrogate_key, utc_now
 from vintage.operators.rules import accepted_failures, null_failures, unique_failures
+from vintage.operators.upsert import replace_partitions, writer_session
 from vintage.operators.versions import latest, revision_history
 from vintage.schemas import PERIOD_KEYS, VERSION, Layers
 from vintage.sources.ledger import only_passed
@@ -95,36 +96,32 @@ def relation_name(schema: str | None, model: str, default: str) -> str:
     return f"{(schema or default).strip()}.{model}"
 
 
-def _write(df: DataFrame, name: str) -> DataFrame:
-    df.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
+def model_names(layers: Layers) -> dict[str, str]:
+    """Model name to relation name."""
+    names = {m: relation_name(layers.staging, m, "default") for m in STAGING}
+    names |= {m: relation_name(layers.marts, m, "default") for m in MARTS}
+    return names | {m: relation_name(layers.observability, m, "default") for m in VIEWS}
 
 
-def build_models(spark: SparkSession, layers: Layers = Layers(), gated: bool = False) -> dict[str, str]:
-    """Build every model in dependency order; returns model name to relation name.
+def _write(df: DataFrame, name: str, partition: str | None = None, rebalance: bool = False) -> DataFrame:
+    if rebalance:
+        # One file per period, or several of the advisory size, instead of one per task and period.
+        df = df.hint("rebalance", partition)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition) if partition else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
 
-    The as-reported fact is written because two models read it. ``gated`` leaves out runs that
-    did not pass validation; the default, like the views, takes every run.
-    """
-    names = {m: relation_name(layers.staging, m, "default") for m in STAGING}
-    names |= {m: relation_name(layers.marts, m, "default") for m in MARTS}
-    names |= {m: relation_name(layers.observability, m, "default") for m in VIEWS}
 
+def create_views(spark: SparkSession, layers: Layers = Layers()) -> None:
+    """The staging views over raw and the observability views over marts and log."""
+    names = model_names(layers)
     for model, feed in STAGING.items():
         spark.sql(
             f"CREATE OR REPLACE VIEW {names[model]} AS "
             f"SELECT {', '.join(feed.columns)} FROM {layers.raw_table(feed)}"
         )
-    deaths, activity = (spark.table(names[m]) for m in STAGING)
-    if gated:
-        log = spark.table(layers.run_log)
-        deaths, activity = only_passed(deaths, log), only_passed(activity, log)
-
-    reported = _write(as_reported(deaths), names["fct_cases_as_reported"])
-    _write(latest_fact(reported), names["fct_cases_latest"])
-    _write(revisions(reported, DEATHS.metric), names["fct_revision_history"])
-    _write(dimension([deaths, activity], "state", "state_key"), names["dim_state"])
-
+    if not spark.catalog.tableExists(names["fct_cases_latest"]):
+        return
     views = {
         "data_freshness_by_state": _FRESHNESS.format(
             by="state", as_of="current_date()", stale_days=STALE_DAYS, fact=names["fct_cases_latest"]
@@ -133,9 +130,69 @@ def build_models(spark: SparkSession, layers: Layers = Layers(), gated: bool = F
     }
     for model, text in views.items():
         spark.sql(f"CREATE OR REPLACE VIEW {names[model]} AS {text}")
+
+
+def _staging(spark: SparkSession, layers: Layers, gated: bool) -> list[DataFrame]:
+    tables = [spark.table(model_names(layers)[m]) for m in STAGING]
+    return [only_passed(t, spark.table(layers.run_log)) for t in tables] if gated else tables
+
+
+def build_models(spark: SparkSession, layers: Layers = Layers(), gated: bool = False) -> dict[str, str]:
+    """Build every model in dependency order; returns model name to relation name.
+
+    The as-reported fact is written because two models read it; it keeps the runs of raw as its
+    partitions and so needs no shuffle. The other facts are partitioned by period, which is what
+    ``refresh_models`` replaces. ``gated`` leaves out runs that did not pass validation; the
+    default, like the views, takes every run.
+    """
+    names = model_names(layers)
+    create_views(spark, layers)
+    deaths, activity = _staging(spark, layers, gated)
+    reported = _write(as_reported(deaths), names["fct_cases_as_reported"], "run_id")
+    _write(latest_fact(reported), names["fct_cases_latest"], "snapshot_date", rebalance=True)
+    _write(revisions(reported, DEATHS.metric), names["fct_revision_history"], "snapshot_date", rebalance=True)
+    _write(dimension([deaths, activity], "state", "state_key"), names["dim_state"])
+    create_views(spark, layers)
     return names
 
 
+def refresh_models(spark: SparkSession, runs: list[str], layers: Layers = Layers(), gated: bool = False) -> dict[str, str]:
+    """Bring built models up to date after ``runs`` were loaded; the result equals a full build.
+
+    Only the partitions of those runs are copied, and only the periods they report are modelled
+    again, so the cost follows the new data instead of the whole history.
+    """
+    names = model_names(layers)
+    session = writer_session(spark)
+    deaths, activity = (t.where(F.col("run_id").isin(runs)) for t in _staging(session, layers, gated))
+    replace_partitions(as_reported(deaths), names["fct_cases_as_reported"], "run_id", PERIOD_KEYS)
+    # As many values as the runs report periods.
+    periods = [row[0] for row in deaths.select("snapshot_date").distinct().collect()]
+    reported = session.table(names["fct_cases_as_reported"]).where(F.col("snapshot_date").isin(periods))
+    replace_partitions(latest_fact(reported), names["fct_cases_latest"], "snapshot_date", ("state",))
+    _replace_periods(spark, revisions(reported, DEATHS.metric), names["fct_revision_history"], periods)
+    known = session.table(names["dim_state"])
+    added = dimension([deaths, activity], "state", "state_key").join(known.select("state"), "state", "left_anti")
+    added.select(*known.columns).write.insertInto(names["dim_state"])
+    for model in MARTS:
+        spark.catalog.refreshTable(names[model])
+    return names
+
+
+def _replace_periods(spark: SparkSession, df: DataFrame, table: str, periods: list[date]) -> None:
+    """Replace the partitions of ``periods``, also those that ``df`` has no rows for any more."""
+    staging = f"{table}_staging_{utc_now():%Y%m%d%H%M%S%f}"
+    df.write.saveAsTable(staging)
+    try:
+        staged = df.sparkSession.table(staging)
+        replace_partitions(staged, table, "snapshot_date", ("state",))
+        filled = {row[0] for row in staged.select("snapshot_date").distinct().collect()}
+        for day in sorted(set(periods) - filled):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (snapshot_date = DATE'{day}')")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+
+
 # --- fixed values: the column tests of the models (model, column, test, accepted values) ---
 MODEL_TESTS = (
     ("stg_covid_deaths", "run_id", "not_null", None),

@@ -14,12 +14,6 @@ from vintage.functions.columns import ntz, surrogate_key, utc_now
 from vintage.operators.upsert import replace_partitions, writer_session
 from vintage.schemas import Layers
 
-_LOG_ROW = (
-    "run_id string, pipeline_name string, stage string, status string, row_count_in bigint, "
-    "row_count_out bigint, duration_ms bigint, error_message string"
-)
-
-
 def run_log_row(
     spark: SparkSession,
     run_id: str,
@@ -32,9 +26,15 @@ def run_log_row(
     error_message: str | None = None,
     logged_at: datetime | str | None = None,
 ) -> DataFrame:
-    row = (run_id, pipeline_name, stage, status, row_count_in, row_count_out, duration_ms, error_message)
-    logged = spark.createDataFrame([row], _LOG_ROW).withColumn("logged_at", ntz(logged_at or utc_now()))
-    return with_log_id(logged)
+    text = {"run_id": run_id, "pipeline_name": pipeline_name, "stage": stage, "status": status}
+    numbers = {"row_count_in": row_count_in, "row_count_out": row_count_out, "duration_ms": duration_ms}
+    row = spark.range(1, numPartitions=1).select(
+        *[F.lit(v).alias(k) for k, v in text.items()],
+        *[F.lit(v).cast("bigint").alias(k) for k, v in numbers.items()],
+        F.lit(error_message).cast("string").alias("error_message"),
+        ntz(logged_at or utc_now()).alias("logged_at"),
+    )
+    return with_log_id(row)
 
 
 def with_log_id(rows: DataFrame) -> DataFrame:
