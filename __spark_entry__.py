@@ -408,7 +408,8 @@ def materialize_models(spark, sf_dir):
     layers = _layers(spark)
     _append(_reports(spark, sf_dir), DEATHS, layers)
     _append(_activity(spark, sf_dir), ACTIVITY, layers)
-    ledger.append_log(ledger.with_log_id(_logs(spark, sf_dir)), layers)
+    log = ledger.with_log_id(_logs(spark, sf_dir))
+    log.select(*spark.table(layers.run_log).columns).write.insertInto(layers.run_log)
     built = models.build_models(spark, layers)
     layer_of = dict(zip(layers.databases(), ("raw", "staging", "marts", "observability")))
     counts = None

@@ -4,6 +4,7 @@ import pytest
 from conftest import plan, tuples
 from pyspark.sql import functions as F
 
+from vintage.operators import anomaly
 from vintage.operators.anomaly import anomalies, anomaly_flags, current_run, group_stats, history, z_scores
 
 SCHEMA = "run_id string, snapshot_date date, state string, covid_19_deaths bigint"
@@ -71,7 +72,9 @@ def test_scans_prune_to_runs_and_stats_are_broadcast_after_measuring(spark, tmp_
     assert "BroadcastHashJoin" in plan(found_now)
 
 
-def test_hot_state_matches_direct_computation(spark):
+@pytest.mark.parametrize("hot_rows", [100, 10**6])
+def test_hot_state_matches_direct_computation(spark, hot_rows, monkeypatch):
+    monkeypatch.setattr(anomaly.with_group_stats, "__defaults__", (hot_rows,))
     df = spark.range(9000).select(
         F.when(F.col("id") % 10 == 0, "now").otherwise("old").alias("run_id"), F.lit(DAY).alias("snapshot_date"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("state"),

@@ -120,14 +120,20 @@ def test_activity_feed(spark, layers):
     assert tuples(spark.table(layers.raw_table(ACTIVITY)), "state", "activity_level") == [("a", "High"), ("b", "Low")]
 
 
-def test_hot_key_merge(spark):
-    """A third of the stored rows share one key."""
-    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("state")
+@pytest.mark.parametrize("hot_rows", [500, 10**6])
+@pytest.mark.parametrize("matched", [True, False])
+def test_hot_key_merge(spark, hot_rows, matched):
+    """A third of the stored rows share one key, another third a null key."""
+    key = F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 3 == 1, F.col("id")).alias("state")
     target = spark.range(3000).select(F.lit("r").alias("run_id"), F.lit(DAY).alias("snapshot_date"), key, F.lit("old").alias("v"))
-    source = spark.range(0, 6000, 2).select(F.lit("r").alias("run_id"), F.lit(DAY).alias("snapshot_date"), F.col("id").alias("state"), F.lit("new").alias("v"))
-    merged = merge_rows(target, source)
-    kept = [i for i in range(3000) if i % 3 and i % 2]
-    assert merged.where("v = 'old'").count() == len(kept) and merged.where("v = 'new'").count() == 3000
+    states = [*range(0, 6000, 2), None] + [-1] * matched
+    source = spark.createDataFrame([("r", DAY, s, "new") for s in states], target.schema)
+    merged = merge_rows(target, source, hot_rows=hot_rows)
+    old = merged.where("v = 'old'")
+    assert old.where("state = -1").count() == (0 if matched else 1000)
+    assert old.where("state is null").count() == 1000
+    assert tuples(old.where("state >= 0"), "state") == sorted(((i,) for i in range(3000) if i % 3 == 1 and i % 2), key=repr)
+    assert merged.where("v = 'new'").count() == len(states)
 
 
 def test_only_touched_partitions_are_read(spark, layers):

@@ -5,7 +5,7 @@ import pytest
 from conftest import plan, tuples
 from pyspark.sql import functions as F
 
-from vintage.functions.ordering import hot_groups, with_versions
+from vintage.functions.skew import hot_groups, with_versions
 from vintage.operators.versions import latest, latest_as_of, revision_history
 from vintage.plans.models import as_reported, latest_fact, revisions
 

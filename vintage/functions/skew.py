@@ -1,7 +1,9 @@
-"""Version numbers and previous values when one group may hold a large share of all rows.
+"""Work per group when one group may hold a large share of all rows.
 
-A window puts a whole group into one task. Groups above ``hot_rows`` rows are therefore cut into
-slices of the sort order, numbered slice by slice, and completed with what precedes each slice.
+A window or a join puts a whole group into one task. Groups above ``hot_rows`` rows are listed
+first, from counts combined before the shuffle. Such a list is short, so joins can broadcast what
+concerns it; windows cut the listed groups into slices of the sort order and number slice by slice.
+Without hot groups, the usual case, the plan is the plain one.
 """
 
 from __future__ import annotations
@@ -35,6 +37,40 @@ def hot_groups(df: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -
         hot_rows *= 10
 
 
+def split_hot(df: DataFrame, listed: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Rows outside and inside the listed groups. Small: ``listed`` holds at most MAX_HOT_GROUPS rows."""
+    cold = join_on_equal_or_null(df, listed, keys, "left_anti", small=True)
+    return cold, join_on_equal_or_null(df, listed, keys, "left_semi", small=True)
+
+
+def join_groups(
+    df: DataFrame,
+    groups: DataFrame,
+    keys: tuple[str, ...],
+    how: str,
+    null_safe: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join rows with a table of one row per group (inner, left_semi or left_anti).
+
+    Rows of hot groups are not shuffled: the few groups they need are broadcast to them. For the
+    rest nothing is forced; the adaptive planner broadcasts ``groups`` if it proves small.
+    """
+
+    def join(rows: DataFrame, table: DataFrame, small: bool) -> DataFrame:
+        if null_safe:
+            return join_on_equal_or_null(rows, table, keys, how, small)
+        return rows.join(F.broadcast(table) if small else table, list(keys), how)
+
+    hot = hot_groups(df, keys, hot_rows)
+    if hot is None:
+        return join(df, groups, small=False)
+    listed = hot.select(*keys)
+    cold, big = split_hot(df, listed, keys)
+    needed = join_on_equal_or_null(groups, listed, keys, "left_semi", small=True)
+    return join(cold, groups, small=False).unionByName(join(big, needed, small=True))
+
+
 def with_versions(
     df: DataFrame,
     keys: tuple[str, ...],
@@ -50,10 +86,7 @@ def with_versions(
     hot = hot_groups(df, keys, hot_rows)
     if hot is None:
         return _numbered(df, keys, order, value)
-    # Small: at most MAX_HOT_GROUPS rows, see hot_groups.
-    listed = hot.select(*keys)
-    cold = join_on_equal_or_null(df, listed, keys, "left_anti", small=True)
-    big = join_on_equal_or_null(df, listed, keys, "left_semi", small=True)
+    cold, big = split_hot(df, hot.select(*keys), keys)
     slices = min(math.ceil(hot.agg(F.sum("n")).first()[0] / hot_rows) + 1, MAX_SLICES)
     return _numbered(cold, keys, order, value).unionByName(
         _numbered_in_slices(big, keys, order, value, slices)

@@ -16,6 +16,7 @@ from vintage.functions.columns import (
     surrogate_key,
     z_score,
 )
+from vintage.functions.skew import HOT_ROWS, join_groups
 from vintage.operators.filters import for_run, other_runs
 
 
@@ -41,13 +42,9 @@ def group_stats(past: DataFrame, by: str, metric: str) -> DataFrame:
     )
 
 
-def with_group_stats(current: DataFrame, stats: DataFrame, by: str) -> DataFrame:
-    """Current rows with the statistics of their group; rows of unseen groups drop out.
-
-    No broadcast is forced: the statistics have a row per group, so the adaptive planner broadcasts
-    them after measuring them and otherwise joins by shuffle, splitting hot groups.
-    """
-    return current.join(stats, by, "inner")
+def with_group_stats(current: DataFrame, stats: DataFrame, by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Current rows with the statistics of their group; rows of unseen groups drop out."""
+    return join_groups(current, stats, (by,), "inner", hot_rows=hot_rows)
 
 
 def z_scores(

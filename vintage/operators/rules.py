@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintage.functions.columns import join_on_equal_or_null, percent
+from vintage.functions.columns import percent
+from vintage.functions.skew import HOT_ROWS, join_groups
 
 SAMPLE_SIZE = 20
 
@@ -190,13 +191,13 @@ def validate(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     )
 
 
-def violations(df: DataFrame, rule: Rule) -> DataFrame:
+def violations(df: DataFrame, rule: Rule, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows that break the rule."""
     if not rule.by_key:
         return df.where(rule.unexpected())
     checked = df.where(rule.evaluated())
     repeated = duplicate_keys(checked, rule.columns).select(*rule.columns)
-    return join_on_equal_or_null(checked, repeated, rule.columns, "left_semi")
+    return join_groups(checked, repeated, rule.columns, "left_semi", null_safe=True, hot_rows=hot_rows)
 
 
 def sample_violations(df: DataFrame, rule: Rule, order: tuple[str, ...], n: int = SAMPLE_SIZE) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vintage.functions.skew import HOT_ROWS, join_groups
 from vintage.schemas import KEYS
 
 
@@ -12,20 +15,37 @@ class AmbiguousMatch(ValueError):
     """A stored row is matched by more than one row of the batch."""
 
 
-def unmatched(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Rows of ``target`` that ``source`` does not replace. A null key matches nothing."""
-    # Distinct combines copies of a key before the shuffle and needs no exchange of its own.
-    return target.join(source.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
+def _any_null(keys: tuple[str, ...]) -> Column:
+    return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+
+
+def _all_known(keys: tuple[str, ...]) -> Column:
+    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+
+
+def unmatched(
+    target: DataFrame, source: DataFrame, keys: tuple[str, ...] = KEYS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Rows of ``target`` that ``source`` does not replace.
+
+    A null key matches nothing, so such rows bypass the join. Copies of a source key are combined
+    before the shuffle.
+    """
+    replaced = source.where(_all_known(keys)).select(*keys).distinct()
+    kept = join_groups(target.where(_all_known(keys)), replaced, keys, "left_anti", hot_rows=hot_rows)
+    return kept.select(*target.columns).unionByName(target.where(_any_null(keys)))
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+def merge_rows(
+    target: DataFrame, source: DataFrame, keys: tuple[str, ...] = KEYS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """``target`` with matched rows replaced by ``source`` and the rest of ``source`` appended."""
-    return unmatched(target, source, keys).unionByName(source)
+    return unmatched(target, source, keys, hot_rows).unionByName(source)
 
 
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Keys held more than once by ``source`` that a row of ``target`` matches."""
-    repeated = source.dropna(subset=list(keys)).groupBy(*keys).count().where(F.col("count") > 1)
+    repeated = source.where(_all_known(keys)).groupBy(*keys).count().where(F.col("count") > 1)
     return repeated.select(*keys).join(target.select(*keys).distinct(), list(keys), "left_semi")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintage.functions.columns import changed, ntz
-from vintage.functions.ordering import HOT_ROWS, with_versions
+from vintage.functions.skew import HOT_ROWS, with_versions
 
 
 def first_per_group(df: DataFrame, keys: tuple[str, ...], order: list) -> DataFrame:

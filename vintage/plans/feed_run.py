@@ -12,6 +12,7 @@ from vintage.functions.columns import new_run_id, utc_now
 from vintage.operators.anomaly import anomalies, anomaly_flags, current_run, history
 from vintage.operators.filters import for_run, last_period, newer_than
 from vintage.operators.rules import require_success, sample_violations, validate
+from vintage.operators.upsert import writer_session
 from vintage.schemas import Layers
 from vintage.sources.landing import normalize, read_landing
 from vintage.sources.ledger import logged_stage, unvalidated_runs, write_anomaly_flags
@@ -63,7 +64,8 @@ def detect_anomalies(
     spark: SparkSession, feed: Feed, run_id: str, layers: Layers = Layers(), flagged_at: datetime | str | None = None
 ) -> int:
     """Score one run against all others and write its flags; returns their number."""
-    raw = spark.table(layers.raw_table(feed))
+    session = writer_session(spark)
+    raw = session.table(layers.raw_table(feed))
     found = anomalies(
         current_run(raw, run_id, "state", feed.metric),
         history(raw, run_id, "state", feed.metric),
@@ -71,7 +73,8 @@ def detect_anomalies(
         feed.metric,
         feed.source,
     )
-    write_anomaly_flags(spark, anomaly_flags(found, flagged_at or utc_now()), layers)
+    write_anomaly_flags(anomaly_flags(found, flagged_at or utc_now()), layers)
+    spark.catalog.refreshTable(layers.flags)
     return for_run(spark.table(layers.flags), run_id).count()
 
 

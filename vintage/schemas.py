@@ -68,8 +68,8 @@ def raw_ddl(feed: Feed) -> str:
 def create_tables(spark: SparkSession, layers: Layers = Layers(), location: str | None = None) -> None:
     """Create databases and tables that do not exist yet.
 
-    Raw tables and flags are partitioned by run: a run is what loads replace, what validation
-    reads and what detection excludes, so all three prune to whole directories.
+    All are partitioned by run: a run is what a load replaces, what validation reads and what
+    detection excludes, and writers of different runs do not get in each other's way.
     """
     for db in layers.databases():
         where = f" LOCATION '{location}/{db}'" if location else ""
@@ -79,7 +79,5 @@ def create_tables(spark: SparkSession, layers: Layers = Layers(), location: str
             f"CREATE TABLE IF NOT EXISTS {layers.raw_table(feed)} ({raw_ddl(feed)}) "
             "USING parquet PARTITIONED BY (run_id)"
         )
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {layers.run_log} ({RUN_LOG_DDL}) USING parquet")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {layers.flags} ({FLAGS_DDL}) USING parquet PARTITIONED BY (run_id)"
-    )
+    for table, ddl in ((layers.run_log, RUN_LOG_DDL), (layers.flags, FLAGS_DDL)):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet PARTITIONED BY (run_id)")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.functions.columns import ntz, surrogate_key, utc_now
+from vintage.operators.filters import for_run
 from vintage.operators.upsert import replace_partitions, writer_session
 from vintage.schemas import Layers
 
@@ -43,9 +44,15 @@ def with_log_id(rows: DataFrame) -> DataFrame:
     return rows.select(log_id.alias("log_id"), "*")
 
 
-def append_log(rows: DataFrame, layers: Layers) -> None:
-    table = layers.run_log
-    rows.select(*rows.sparkSession.table(table).columns).write.mode("append").insertInto(table)
+def append_log(row: DataFrame, run_id: str, layers: Layers) -> None:
+    """Add a row to the log of one run; ``row`` must come from a ``writer_session``.
+
+    The run's partition is written anew with the row added. A plain append would share its working
+    folder with the appends of other runs, and whichever finished first would remove it.
+    """
+    session = row.sparkSession
+    before = for_run(session.table(layers.run_log), run_id)
+    replace_partitions(before.unionByName(row), layers.run_log)
 
 
 @contextmanager
@@ -64,25 +71,20 @@ def logged_stage(spark: SparkSession, layers: Layers, run_id: str, pipeline: str
         if error is not None or counts["row_count_in"]:
             duration_ms = int((time.monotonic() - started) * 1000)
             status = "success" if error is None else "failure"
-            append_log(
-                run_log_row(spark, run_id, pipeline, stage, status, **counts, duration_ms=duration_ms, error_message=error),
-                layers,
+            session = writer_session(spark)
+            row = run_log_row(
+                session, run_id, pipeline, stage, status, **counts, duration_ms=duration_ms, error_message=error
             )
+            append_log(row, run_id, layers)
+            spark.catalog.refreshTable(layers.run_log)
 
 
-def write_anomaly_flags(spark: SparkSession, found: DataFrame, layers: Layers) -> None:
-    """Replace the flags of the runs in ``found``; scoring a run again does not repeat its flags.
+def write_anomaly_flags(flags: DataFrame, layers: Layers) -> None:
+    """Replace the flags of the runs in ``flags``; scoring a run again does not repeat its flags.
 
-    Nothing is written when there is nothing to flag.
+    Nothing is written when there is nothing to flag. ``flags`` must come from a ``writer_session``.
     """
-    session = writer_session(spark)
-    staged = f"{layers.observability}.flags_staging_{utc_now():%Y%m%d%H%M%S%f}"
-    found.write.saveAsTable(staged)
-    try:
-        replace_partitions(session.table(staged), layers.flags)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    spark.catalog.refreshTable(layers.flags)
+    replace_partitions(flags, layers.flags)
 
 
 # --- fixed values: text of a failure alert ---
@@ -103,18 +105,15 @@ def failure_alerts(log: DataFrame) -> DataFrame:
     )
 
 
-def passed_runs(log: DataFrame) -> DataFrame:
-    """Runs whose validation succeeded."""
-    return (
-        log.where((F.col("stage") == "validate") & (F.col("status") == "success"))
-        .select("run_id")
-        .distinct()
-    )
+def passed_runs(log: DataFrame) -> list[str]:
+    """Runs whose validation succeeded: as many names as raw has partitions."""
+    passed = log.where((F.col("stage") == "validate") & (F.col("status") == "success"))
+    return [row["run_id"] for row in passed.select("run_id").distinct().collect()]
 
 
 def only_passed(df: DataFrame, log: DataFrame) -> DataFrame:
-    """Rows of runs that passed validation, for models that must not see rejected loads."""
-    return df.join(passed_runs(log), "run_id", "left_semi")
+    """Rows of runs that passed validation; the partitions of rejected runs are not read."""
+    return df.where(F.col("run_id").isin(passed_runs(log)))
 
 
 def unvalidated_runs(log: DataFrame, pipeline_name: str) -> DataFrame:
