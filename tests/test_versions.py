@@ -77,6 +77,13 @@ def test_hot_groups_are_counted_per_null_safe_key(spark):
     assert hot_groups(frame(spark, rows), KEYS, 5) is None
 
 
+def test_hot_groups_of_a_large_table_are_found_by_share(spark):
+    state = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 1000).cast("string")).alias("state")
+    df = spark.range(200_000).select(F.lit(DAY).alias("snapshot_date"), state)
+    ((_, name, n),) = tuples(hot_groups(df, KEYS, 20_000))
+    assert name == "hot" and 60_000 < n < 73_000
+
+
 def test_latest_breaks_ties_by_run(spark):
     df = frame(spark, [version(1, 1, hours=5), version(2, 2, hours=5), version(3, 3, None, 4), version(4, 4, None, 3)])
     assert tuples(latest(df, KEYS, VERSION), "run_id", "state") == [("run_2", "California"), ("run_3", None)]
