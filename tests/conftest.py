@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": 4,
+            # On a handful of rows compiling a plan takes longer than interpreting it.
+            "spark.sql.codegen.wholeStage": False,
             "spark.ui.showConsoleProgress": False,
             "spark.sql.warehouse.dir": tmp_path_factory.mktemp("warehouse"),
             "spark.checkpoint.dir": tmp_path_factory.mktemp("shared"),
