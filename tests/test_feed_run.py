@@ -8,7 +8,7 @@ from test_ingest import death, land
 from vintage.feeds import ACTIVITY, DEATHS
 from vintage.operators.rules import ValidationFailed
 from vintage.plans import feed_run
-from vintage.plans.feed_run import judge_run, run_feed, run_feeds
+from vintage.plans.feed_run import run_feed, run_feeds, score_run
 from vintage.plans.models import MARTS, MODEL_TESTS, STAGING, VIEWS, build_models, refresh_models, relation_name, run_model_tests
 from vintage.sources.ledger import failure_alerts, only_passed
 from vintage.streaming.ingest import stream_ingest
@@ -34,9 +34,9 @@ def test_weekly_runs(spark, layers, tmp_path):
     land(tmp_path / "in" / "2", "lines", [feed_week("2026-09-05T00:00:00.000", 99), feed_week("2026-09-05T00:00:00.000", 1, "Ohio")])
     second = run_feed(spark, DEATHS, str(tmp_path / "in"), layers, run_id="run_2")
     assert second["mark"] == date(2026, 8, 17) and second["load"]["row_count_out"] == 2
-    assert second["judged"] == [{"run_id": "run_2", "row_count": 2, "anomalies_found": 1}]
+    assert second["validated"] == {"run_2": 2} and second["anomalies_found"] == {"run_2": 1}
     third = run_feed(spark, DEATHS, str(tmp_path / "in"), layers, run_id="run_3")
-    assert third["run_id"] is None and third["load"]["row_count_in"] == 0 and third["judged"] == []
+    assert third["run_id"] is None and third["load"]["row_count_in"] == 0 and third["validated"] == {}
     assert stages(spark, layers) == [
         ("run_1", "extract", "success", 24, 24), ("run_1", "load", "success", 24, 24),
         ("run_1", "validate", "success", 24, 24), ("run_1", "anomaly_detection", "success", 24, 0),
@@ -46,8 +46,12 @@ def test_weekly_runs(spark, layers, tmp_path):
     flag = spark.table(layers.flags).first()
     assert (flag["run_id"], flag["source"], flag["state"], flag["metric_name"], flag["observed_value"]) == (
         "run_2", "covid", "United States", "covid_19_deaths", 99.0)
-    judge_run(spark, DEATHS, "run_2", layers)
+    assert score_run(spark, DEATHS, "run_2", layers) == 1
     assert tuples(spark.table(layers.flags), "flag_id") == [(flag["flag_id"],)]
+    # Corrected under the same run id, the value is normal again and the flag goes.
+    corrected = land(tmp_path / "fix", "lines", [feed_week("2026-09-05T00:00:00.000", 11)])
+    run_feed(spark, DEATHS, corrected, layers, run_id="run_2", lookback_days=30)
+    assert score_run(spark, DEATHS, "run_2", layers) == 0 and spark.table(layers.flags).isEmpty()
 
 
 def test_failed_validation_stops_and_is_not_retried(spark, layers, tmp_path):
@@ -59,7 +63,7 @@ def test_failed_validation_stops_and_is_not_retried(spark, layers, tmp_path):
     # The rejected rows stay in raw; models may leave them out.
     raw = spark.table(layers.raw_table(DEATHS))
     assert raw.count() == 3 and only_passed(raw, spark.table(layers.run_log)).count() == 0
-    assert run_feed(spark, DEATHS, path, layers, "pages")["judged"] == []
+    assert run_feed(spark, DEATHS, path, layers, "pages")["validated"] == {}
     text = failure_alerts(spark.table(layers.run_log)).first()["text"]
     assert text.splitlines()[:4] == [
         ":rotating_light: *Pipeline Failure*", "*Pipeline:* covid_deaths_pipeline", "*Stage:* validate", "*Run ID:* run_1"]
@@ -76,14 +80,25 @@ def test_violations_are_sampled(spark, layers, tmp_path):
     assert feed_run.validate_run(spark, DEATHS, "no such run", layers)["success"]
 
 
-def test_interrupted_run_is_judged_by_the_next(spark, layers, tmp_path, monkeypatch):
+def test_interrupted_run_is_finished_by_the_next(spark, layers, tmp_path, monkeypatch):
     path = land(tmp_path / "in", "lines", backfill())
-    with monkeypatch.context() as broken:
-        broken.setattr(feed_run, "judge_run", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
-        with pytest.raises(KeyboardInterrupt):
-            run_feed(spark, DEATHS, path, layers, run_id="run_1")
-    again = run_feed(spark, DEATHS, path, layers, run_id="run_2")
-    assert again["run_id"] is None and [j["run_id"] for j in again["judged"]] == ["run_1"]
+
+    def run_broken(step, error, run_id):
+        def stop(*args):
+            raise error
+
+        with monkeypatch.context() as broken, pytest.raises(type(error)):
+            broken.setattr(feed_run, step, stop)
+            run_feed(spark, DEATHS, path, layers, run_id=run_id)
+
+    run_broken("check_run", KeyboardInterrupt(), "run_1")
+    run_broken("detect_anomalies", RuntimeError("lost"), "run_2")
+    again = run_feed(spark, DEATHS, path, layers, run_id="run_3")
+    assert again["run_id"] is None and again["validated"] == {} and again["anomalies_found"] == {"run_1": 0}
+    assert [s[:3] for s in stages(spark, layers)] == [
+        ("run_1", "extract", "success"), ("run_1", "load", "success"), ("run_1", "validate", "success"),
+        ("run_1", "anomaly_detection", "failure"), ("run_1", "anomaly_detection", "success"),
+    ]
 
 
 def test_failed_extraction_is_logged(spark, layers, tmp_path):

@@ -100,6 +100,11 @@ def test_period_equal_to_the_mark_is_not_new(spark, tmp_path):
     assert ingest(records, DEATHS, None, "r", STAMP).count() == 3
 
 
+def test_old_periods_are_not_parsed(spark, tmp_path):
+    path = land(tmp_path / "l", "lines", [death(covid_19_deaths="many"), death("2026-09-12")])
+    assert ingest(read_landing(spark, path), DEATHS, date(2026, 9, 5), "r", STAMP).collect()[0]["covid_19_deaths"] == 15
+
+
 def test_mark_watches_the_sentinel(spark):
     df = spark.createDataFrame(
         [("United States", date(2026, 9, 5)), ("Ohio", date(2026, 9, 12))], "state string, snapshot_date date"

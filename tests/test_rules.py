@@ -119,6 +119,6 @@ def test_gate(spark):
 
 def test_model_test_counts(spark):
     df = frame(spark, ("x", 1, 1), ("x", 1, 1), ("y", 1, 1), (None, 1, 1), (None, 1, 1), ("Low", 1, 1))
-    assert rules.null_failures(df, "state").first()[0] == 2
-    assert rules.unique_failures(df, "state").first()[0] == 1
-    assert rules.accepted_failures(df, "state", ("Low",)).first()[0] == 2
+    assert tuples(rules.null_failures(df, ["state", "run_id"])) == [("run_id", "not_null", 0), ("state", "not_null", 2)]
+    assert tuples(rules.unique_failures(df, "state")) == [("state", "unique", 1)]
+    assert tuples(rules.accepted_failures(df, "state", ("Low",))) == [("state", "accepted_values", 2)]

@@ -229,25 +229,30 @@ def require_success(results: list, label: str) -> None:
         raise ValidationFailed(f"{label}: {len(failures)} rule(s) failed: {broken}", failures)
 
 
-# --- tests on finished models: each counts failures, 0 passes ---
+# --- tests on finished models: one row per test with its failures, 0 passes ---
 
 
-def null_failures(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.count_if(F.col(column).isNull()).alias("failures"))
+def _failures(df: DataFrame, column: str, test: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(column).alias("column_name"), F.lit(test).alias("test"), "failures"
+    )
+
+
+def null_failures(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Number of nulls of each column, counted in one pass."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    entries = [
+        F.struct(F.lit(c).alias("column_name"), F.lit("not_null").alias("test"), F.col(c).alias("failures"))
+        for c in columns
+    ]
+    return counts.select(F.inline(F.array(*entries)))
 
 
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
     """Number of values held more than once; nulls are ignored."""
-    return duplicate_keys(df.where(F.col(column).isNotNull()), (column,)).agg(
-        F.count(F.lit(1)).alias("failures")
-    )
+    return _failures(duplicate_keys(df.where(F.col(column).isNotNull()), (column,)), column, "unique")
 
 
 def accepted_failures(df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
     """Number of distinct values outside the accepted ones; nulls pass."""
-    return (
-        df.where(~F.col(column).isin(*values))
-        .select(column)
-        .distinct()
-        .agg(F.count(F.lit(1)).alias("failures"))
-    )
+    return _failures(df.where(~F.col(column).isin(*values)).select(column).distinct(), column, "accepted_values")

@@ -14,8 +14,8 @@ from vintage.operators.filters import for_run, last_period, newer_than
 from vintage.operators.rules import require_success, sample_violations, validate
 from vintage.operators.upsert import writer_session
 from vintage.schemas import Layers
-from vintage.sources.landing import normalize, read_landing
-from vintage.sources.ledger import logged_stage, unvalidated_runs, write_anomaly_flags
+from vintage.sources.landing import read_landing, string_fields, typed_rows
+from vintage.sources.ledger import logged_stage, pending_runs, write_anomaly_flags
 from vintage.sources.load import load_batch
 
 
@@ -28,9 +28,9 @@ def ingest(
     lookback_days: int = 0,
 ) -> DataFrame:
     """Typed rows of the records newer than the mark, stamped with one run id and ingest time."""
-    stamp = now or utc_now()
-    batch = normalize(records, feed, run_id or new_run_id(), stamp)
-    return newer_than(batch, "snapshot_date", mark, lookback_days)
+    # Filtered first: values of older periods are not parsed and cannot fail the batch.
+    fields = newer_than(string_fields(records, feed), "snapshot_date", mark, lookback_days)
+    return typed_rows(fields, feed, run_id or new_run_id(), now or utc_now())
 
 
 def validate_run(spark: SparkSession, feed: Feed, run_id: str, layers: Layers = Layers()) -> dict:
@@ -73,23 +73,26 @@ def detect_anomalies(
         feed.metric,
         feed.source,
     )
-    write_anomaly_flags(anomaly_flags(found, flagged_at or utc_now()), layers)
+    count = write_anomaly_flags(anomaly_flags(found, flagged_at or utc_now()), run_id, layers)
     spark.catalog.refreshTable(layers.flags)
-    return for_run(spark.table(layers.flags), run_id).count()
+    return count
 
 
-def judge_run(spark: SparkSession, feed: Feed, run_id: str, layers: Layers = Layers()) -> dict:
-    """Validate a loaded run, stop if it fails, then flag its outliers (which never stops anything)."""
+def check_run(spark: SparkSession, feed: Feed, run_id: str, layers: Layers = Layers()) -> int:
+    """Validate a loaded run and stop if it fails; returns its row count."""
     with logged_stage(spark, layers, run_id, feed.pipeline, "validate") as counts:
         result = validate_run(spark, feed, run_id, layers)
         counts.update(row_count_in=result["row_count"], row_count_out=result["row_count"])
         require_success(result["results"], f"{feed.pipeline} {run_id}")
-    found = 0
-    if feed.metric:
-        with logged_stage(spark, layers, run_id, feed.pipeline, "anomaly_detection") as counts:
-            counts["row_count_in"] = result["row_count"]
-            found = counts["row_count_out"] = detect_anomalies(spark, feed, run_id, layers)
-    return {"run_id": run_id, "row_count": result["row_count"], "anomalies_found": found}
+    return result["row_count"]
+
+
+def score_run(spark: SparkSession, feed: Feed, run_id: str, layers: Layers = Layers()) -> int:
+    """Flag the outliers of a run, which never stops anything; returns their number."""
+    with logged_stage(spark, layers, run_id, feed.pipeline, "anomaly_detection") as counts:
+        counts["row_count_in"] = for_run(spark.table(layers.raw_table(feed)), run_id).count()
+        counts["row_count_out"] = detect_anomalies(spark, feed, run_id, layers)
+    return counts["row_count_out"]
 
 
 def run_feed(
@@ -103,20 +106,29 @@ def run_feed(
     lookback_days: int = 0,
     modified_after: str | None = None,
 ) -> dict:
-    """Load what is newer than the high-water mark and judge every run not judged yet.
+    """Load what is newer than the high-water mark, validate it, then flag its outliers.
 
-    Normally that is the run just loaded; after an interrupted run it is that one too. Repeating a
-    run under the same ``run_id`` replaces its rows.
+    Runs that an interruption left unvalidated or unscored are caught up on. Repeating a run under
+    the same ``run_id`` replaces its rows. The result maps run ids to row counts and flag counts.
     """
     run_id = run_id or new_run_id()
     mark = last_period(spark.table(layers.raw_table(feed)), feed.sentinel)
     records = read_landing(spark, landing, layout, modified_after)
     load = load_batch(spark, feed, ingest(records, feed, mark, run_id, now, lookback_days), run_id, layers)
-    pending = unvalidated_runs(spark.table(layers.run_log), feed.pipeline)
-    # One row per run that still has to be judged.
-    runs = [row["run_id"] for row in pending.orderBy("run_id").collect()]
-    judged = [judge_run(spark, feed, r, layers) for r in runs]
-    return {"run_id": run_id if load["row_count_in"] else None, "mark": mark, "load": load, "judged": judged}
+    log = spark.table(layers.run_log)
+    checked = {r: check_run(spark, feed, r, layers) for r in pending_runs(log, feed.pipeline, "load", "validate")}
+    scored = {}
+    if feed.metric:
+        log = spark.table(layers.run_log)
+        runs = pending_runs(log, feed.pipeline, "validate", "anomaly_detection", retry_failed=True)
+        scored = {r: score_run(spark, feed, r, layers) for r in runs}
+    return {
+        "run_id": run_id if load["row_count_in"] else None,
+        "mark": mark,
+        "load": load,
+        "validated": checked,
+        "anomalies_found": scored,
+    }
 
 
 def run_feeds(spark: SparkSession, landings: dict[Feed, str], layers: Layers = Layers(), **options) -> list:

@@ -213,22 +213,17 @@ MODEL_TESTS = (
 
 
 def run_model_tests(models: dict[str, DataFrame], tests: tuple = MODEL_TESTS) -> DataFrame:
-    """One row per column test with its number of failures."""
-    rows = None
-    for model, column, test, values in tests:
+    """One row per column test with its number of failures; the null tests of a model share one pass."""
+    results = []
+    for model in dict.fromkeys(t[0] for t in tests):
         df = models[model]
-        if test == "not_null":
-            counted = null_failures(df, column)
-        elif test == "unique":
-            counted = unique_failures(df, column)
-        else:
-            counted = accepted_failures(df, column, values)
-        row = counted.select(
-            F.lit(model).alias("model"),
-            F.lit(column).alias("column_name"),
-            F.lit(test).alias("test"),
-            "failures",
-            (F.col("failures") == 0).alias("passed"),
-        )
-        rows = row if rows is None else rows.unionByName(row)
-    return rows
+        mine = [(column, test, values) for name, column, test, values in tests if name == model]
+        not_null = [column for column, test, _ in mine if test == "not_null"]
+        counted = [null_failures(df, not_null)] if not_null else []
+        for column, test, values in mine:
+            if test == "unique":
+                counted.append(unique_failures(df, column))
+            elif test == "accepted_values":
+                counted.append(accepted_failures(df, column, values))
+        results += [c.select(F.lit(model).alias("model"), "*") for c in counted]
+    return reduce(DataFrame.unionByName, results).withColumn("passed", F.col("failures") == 0)

@@ -57,22 +57,27 @@ def payload_field(name: str, kind: str = "string", payload: str = "raw_payload")
     return F.variant_get(payload, f'$["{name}"]', kind)
 
 
-def string_fields(records: DataFrame, feed: Feed) -> DataFrame:
-    """The feed's fields as strings next to the payload; missing keys are null."""
+def string_fields(records: DataFrame, feed: Feed, strict: bool = True) -> DataFrame:
+    """The period as a date, the feed's other fields as strings, and the payload. Missing keys are null."""
     return records.select(
-        payload_field(feed.period_field).alias("period"),
+        to_period(payload_field(feed.period_field), strict).alias("snapshot_date"),
         *[payload_field(field).alias(name) for name, field, _ in feed.fields],
         "raw_payload",
     )
 
 
-def normalize(records: DataFrame, feed: Feed, run_id: str, ingested_at: datetime | str, strict: bool = True) -> DataFrame:
-    """Typed raw rows of one run. Run id and ingest time are literals, equal for every row."""
+def typed_rows(fields: DataFrame, feed: Feed, run_id: str, ingested_at: datetime | str, strict: bool = True) -> DataFrame:
+    """Raw rows of one run. Run id and ingest time are literals, equal for every row."""
     typed = {"bigint": lambda c: safe_int(c, strict), "string": F.col}
-    return string_fields(records, feed).select(
+    return fields.select(
         F.lit(run_id).alias("run_id"),
-        to_period("period", strict).alias("snapshot_date"),
+        "snapshot_date",
         ntz(ingested_at).alias("ingested_at"),
         *[typed[kind](name).alias(name) for name, _, kind in feed.fields],
         "raw_payload",
     )
+
+
+def normalize(records: DataFrame, feed: Feed, run_id: str, ingested_at: datetime | str, strict: bool = True) -> DataFrame:
+    """Typed raw rows of all records."""
+    return typed_rows(string_fields(records, feed, strict), feed, run_id, ingested_at, strict)

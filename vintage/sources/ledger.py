@@ -79,12 +79,21 @@ def logged_stage(spark: SparkSession, layers: Layers, run_id: str, pipeline: str
             spark.catalog.refreshTable(layers.run_log)
 
 
-def write_anomaly_flags(flags: DataFrame, layers: Layers) -> None:
-    """Replace the flags of the runs in ``flags``; scoring a run again does not repeat its flags.
+def write_anomaly_flags(flags: DataFrame, run_id: str, layers: Layers) -> int:
+    """Replace the flags of one run and return their number; scoring it again does not repeat them.
 
-    Nothing is written when there is nothing to flag. ``flags`` must come from a ``writer_session``.
+    ``flags`` must come from a ``writer_session``.
     """
+    session = flags.sparkSession
+    stored = lambda: for_run(session.table(layers.flags), run_id)
+    before = stored().inputFiles()
     replace_partitions(flags, layers.flags)
+    session.catalog.refreshTable(layers.flags)
+    if before and stored().inputFiles() == before:
+        # Nothing is unusual any more: an overwrite without rows leaves the partition alone.
+        session.sql(f"ALTER TABLE {layers.flags} DROP IF EXISTS PARTITION (run_id = :run)", args={"run": run_id})
+        return 0
+    return stored().count()
 
 
 # --- fixed values: text of a failure alert ---
@@ -116,9 +125,15 @@ def only_passed(df: DataFrame, log: DataFrame) -> DataFrame:
     return df.where(F.col("run_id").isin(passed_runs(log)))
 
 
-def unvalidated_runs(log: DataFrame, pipeline_name: str) -> DataFrame:
-    """Loaded runs that were never judged, e.g. because the driver stopped in between."""
+def pending_runs(log: DataFrame, pipeline_name: str, done: str, missing: str, retry_failed: bool = False) -> list[str]:
+    """Runs that completed stage ``done`` and never entered ``missing``, e.g. because the driver stopped.
+
+    With ``retry_failed`` a failed attempt at ``missing`` does not count. Normally one run.
+    """
     mine = log.where(F.col("pipeline_name") == pipeline_name)
-    loaded = mine.where((F.col("stage") == "load") & (F.col("status") == "success"))
-    judged = mine.where(F.col("stage") == "validate").select("run_id").distinct()
-    return loaded.select("run_id").distinct().join(judged, "run_id", "left_anti")
+    completed = mine.where((F.col("stage") == done) & (F.col("status") == "success"))
+    entered = mine.where(F.col("stage") == missing)
+    if retry_failed:
+        entered = entered.where(F.col("status") == "success")
+    pending = completed.select("run_id").distinct().join(entered.select("run_id"), "run_id", "left_anti")
+    return [row["run_id"] for row in pending.orderBy("run_id").collect()]
