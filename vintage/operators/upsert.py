@@ -55,16 +55,14 @@ def replace_partitions(df: DataFrame, table: str, partition: str = "run_id", sor
     New files appear only when the job commits, so ``df`` may read the table, and a failed job
     leaves it unchanged. ``df`` must come from a ``writer_session``.
     """
-    columns = df.sparkSession.table(table).columns
     # Rebalancing yields files of the advisory size: many small tasks are merged, a run holding
     # most of the rows is split. Sorted files let a filter on the sort columns skip row groups.
-    (
-        df.select(*columns)
-        .hint("rebalance", partition)
-        .sortWithinPartitions(partition, *sort)
-        .write.mode("overwrite")
-        .insertInto(table)
-    )
+    overwrite(df.hint("rebalance", partition).sortWithinPartitions(partition, *sort), table)
+
+
+def overwrite(df: DataFrame, table: str) -> None:
+    """As ``replace_partitions``, with the files as ``df`` is partitioned."""
+    df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
 def writer_session(spark: SparkSession) -> SparkSession:
@@ -74,8 +72,10 @@ def writer_session(spark: SparkSession) -> SparkSession:
     switch it off for each other.
     """
     session = spark.newSession()
-    for key in ("spark.sql.shuffle.partitions", "spark.sql.ansi.enabled", "spark.sql.adaptive.enabled"):
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
         session.conf.set(key, spark.conf.get(key))
+    # Without adaptive execution, rebalancing would put a whole partition into one task.
+    session.conf.set("spark.sql.adaptive.enabled", "true")
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     return session
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vintage.functions.columns import ntz, surrogate_key, utc_now
 from vintage.operators.filters import for_run
-from vintage.operators.upsert import replace_partitions, writer_session
+from vintage.operators.upsert import overwrite, replace_partitions, writer_session
 from vintage.schemas import Layers
 
 def run_log_row(
@@ -52,7 +52,7 @@ def append_log(row: DataFrame, run_id: str, layers: Layers) -> None:
     """
     session = row.sparkSession
     before = for_run(session.table(layers.run_log), run_id)
-    replace_partitions(before.unionByName(row), layers.run_log)
+    overwrite(before.unionByName(row).coalesce(1), layers.run_log)
 
 
 @contextmanager
