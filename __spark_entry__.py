@@ -425,7 +425,7 @@ def _daily_log(spark: SparkSession, layers: Layers) -> DataFrame:
     return spark.table(layers.run_log).select(*_LOG_COLUMNS)
 
 
-def feed_run_deaths(spark, sf_dir):
+def _two_deaths_runs(spark, sf_dir) -> Layers:
     """Backfill, then a run over the whole landing folder that loads only the newer days."""
     layers = _layers(spark)
     feed = replace(DEATHS, sentinel=None)
@@ -441,7 +441,16 @@ def feed_run_deaths(spark, sf_dir):
     folder = _land(spark, records.where(backfill), records.where(~backfill))
     feed_run.run_feed(spark, feed, f"{folder}/0", layers, run_id="run_backfill", now=CUT)
     feed_run.run_feed(spark, feed, folder, layers, run_id="run_weekly", now=STAMP)
-    return _daily_log(spark, layers)
+    return layers
+
+
+def feed_run_deaths(spark, sf_dir):
+    return _daily_log(spark, _two_deaths_runs(spark, sf_dir))
+
+
+def feed_run_flags(spark, sf_dir):
+    flags = spark.table(_two_deaths_runs(spark, sf_dir).flags).drop("flagged_at")
+    return _rounded(flags, "expected_range_low", "expected_range_high", "z_score")
 
 
 def feed_run_activity(spark, sf_dir):
@@ -507,6 +516,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "materialize_models": materialize_models,
         "refresh_models": refresh_models,
         "feed_run_deaths": feed_run_deaths,
+        "feed_run_flags": feed_run_flags,
         "feed_run_activity": feed_run_activity,
     }
 
@@ -668,6 +678,10 @@ _FLAGGED = """
 """
 
 
+_FLAG_ID = """md5(run_id || '-' || source || '-' || state || '-' || metric_name || '-' ||
+    cast(snapshot_date AS varchar) || '-' || cast(observed_value AS varchar)) AS flag_id"""
+
+
 def _upsert_sql(view: str, columns: str) -> str:
     keys = "run_id, snapshot_date, state"
 
@@ -709,15 +723,21 @@ def _load_log(run: str, pipeline: str, source: str, **stages: str) -> str:
     return _LOAD_LOG.format(run=run, pipeline=pipeline, source=source, stages=values)
 
 
-def _feed_run_deaths_sql() -> str:
+def _daily_scored_sql() -> str:
     cut = BACKFILL_TO.isoformat()
-    ok = {"extract": "success", "load": "success", "validate": "success"}
-    flags = f"""
-        SELECT c.user_id FROM daily c
+    return f"""
+        SELECT 'run_weekly' AS run_id, c.day AS snapshot_date, 'u' || cast(c.user_id AS varchar) AS state,
+               c.total AS covid_19_deaths, s.mean, s.std, s.n, (c.total - s.mean) / s.std AS z_score
+        FROM daily c
         JOIN (SELECT user_id, avg(total) AS mean, stddev_samp(total) AS std, count(*) AS n
               FROM daily WHERE day <= DATE '{cut}' GROUP BY user_id) s USING (user_id)
-        WHERE c.day > DATE '{cut}' AND s.n >= 8 AND s.std <> 0 AND abs((c.total - s.mean) / s.std) > 3
+        WHERE c.day > DATE '{cut}' AND s.n >= 8 AND s.std <> 0
     """
+
+
+def _feed_run_deaths_sql() -> str:
+    cut = BACKFILL_TO.isoformat()
+    ok = {"extract": "success", "load": "success", "validate": "success"}
     detected = """
         SELECT '{run}' AS run_id, 'covid_deaths_pipeline' AS pipeline_name, 'anomaly_detection' AS stage,
                'success' AS status, n AS row_count_in, f AS row_count_out
@@ -729,7 +749,7 @@ def _feed_run_deaths_sql() -> str:
             _load_log("run_backfill", DEATHS.pipeline, early, **ok),
             detected.format(run="run_backfill", rows=early, flags="(SELECT 1 WHERE false)"),
             _load_log("run_weekly", DEATHS.pipeline, late, **ok),
-            detected.format(run="run_weekly", rows=late, flags=f"({flags})"),
+            detected.format(run="run_weekly", rows=late, flags="flagged"),
         ]
     )
 
@@ -793,9 +813,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "anomalies": _with("SELECT * EXCLUDE (snapshot_date) FROM flagged", scored=_SCORED, flagged=_FLAGGED),
         "anomaly_flags": _with(
-            f"""SELECT md5(run_id || '-' || source || '-' || state || '-' || metric_name || '-' ||
-                       cast(snapshot_date AS varchar) || '-' || cast(observed_value AS varchar)) AS flag_id,
-                   * EXCLUDE (snapshot_date), TIMESTAMP '{STAMP}' AS flagged_at FROM flagged""",
+            f"SELECT {_FLAG_ID}, * EXCLUDE (snapshot_date), TIMESTAMP '{STAMP}' AS flagged_at FROM flagged",
             scored=_SCORED,
             flagged=_FLAGGED,
         ),
@@ -862,7 +880,10 @@ def oracle_sql() -> dict[str, str]:
         "lower_columns": "SELECT * FROM events",
         "materialize_models": _with(_materialized_sql()),
         "refresh_models": _with(_revisions_sql("bigint")),
-        "feed_run_deaths": _with(_feed_run_deaths_sql()),
+        "feed_run_deaths": _with(_feed_run_deaths_sql(), scored=_daily_scored_sql(), flagged=_FLAGGED),
+        "feed_run_flags": _with(
+            f"SELECT {_FLAG_ID}, * EXCLUDE (snapshot_date) FROM flagged", scored=_daily_scored_sql(), flagged=_FLAGGED
+        ),
         "feed_run_activity": _with(_load_log(
             "run_weekly", ACTIVITY.pipeline, "daily", extract="success", load="success", validate="failure"
         )),

@@ -43,10 +43,19 @@ def merge_rows(
     return unmatched(target, source, keys, hot_rows).unionByName(source)
 
 
-def ambiguous_keys(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Keys held more than once by ``source`` that a row of ``target`` matches."""
-    repeated = source.where(_all_known(keys)).groupBy(*keys).count().where(F.col("count") > 1)
-    return repeated.select(*keys).join(target.select(*keys).distinct(), list(keys), "left_semi")
+def repeated_keys(source: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Complete keys that ``source`` holds more than once."""
+    return source.where(_all_known(keys)).groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
+
+
+def check_matches(target: DataFrame, source: DataFrame, keys: tuple[str, ...] = KEYS) -> None:
+    """Raise if a row of ``target`` is matched by several rows of ``source``."""
+    repeated = repeated_keys(source, keys)
+    if repeated.isEmpty():
+        return
+    conflict = join_groups(target.select(*keys), repeated, keys, "left_semi").first()
+    if conflict is not None:
+        raise AmbiguousMatch(f"{conflict.asDict()} is stored and occurs more than once in the batch")
 
 
 def replace_partitions(df: DataFrame, table: str, partition: str = "run_id", sort: tuple[str, ...] = ()) -> None:
@@ -93,9 +102,7 @@ def upsert_table(spark: SparkSession, table: str, source_table: str, keys: tuple
     rows = source.select(*target.columns)
     # A new run, the normal case, has nothing stored yet: no partition to read, nothing to match.
     if not target.isEmpty():
-        conflict = ambiguous_keys(target, source, keys).first()
-        if conflict is not None:
-            raise AmbiguousMatch(f"{table}: {conflict.asDict()} is stored and occurs more than once in the batch")
+        check_matches(target, source, keys)
         rows = merge_rows(target, rows, keys)
     replace_partitions(rows, table, partition, tuple(k for k in keys if k != partition))
     spark.catalog.refreshTable(table)
