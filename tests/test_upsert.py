@@ -97,6 +97,17 @@ def test_duplicates_insert_when_unmatched_and_fail_when_matched(spark, layers):
     assert [r[2] for r in stored(spark, layers)] == [5]
 
 
+def test_interrupted_load_is_logged_as_failure(spark, layers, monkeypatch):
+    def stop(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken, pytest.raises(KeyboardInterrupt):
+        broken.setattr("vintage.sources.load.upsert_table", stop)
+        load(spark, layers, record())
+    assert log(spark, layers) == [("extract", "success", 1, 1), ("load", "failure", 1, 0)]
+    assert [r[0] for r in spark.table(layers.run_log).where("stage = 'load'").select("error_message").collect()] == ["KeyboardInterrupt"]
+
+
 def test_empty_batch_touches_nothing(spark, layers):
     assert load(spark, layers) == EMPTY_LOAD
     assert stored(spark, layers) == [] and log(spark, layers) == []

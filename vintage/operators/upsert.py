@@ -74,6 +74,13 @@ def overwrite(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
+_CARRIED = (
+    "spark.sql.shuffle.partitions",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    "spark.sql.autoBroadcastJoinThreshold",
+)
+
+
 def writer_session(spark: SparkSession) -> SparkSession:
     """A session on the same catalog in which an overwrite replaces only the partitions written.
 
@@ -81,8 +88,10 @@ def writer_session(spark: SparkSession) -> SparkSession:
     switch it off for each other.
     """
     session = spark.newSession()
-    for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
-        session.conf.set(key, spark.conf.get(key))
+    for key in _CARRIED:
+        value = spark.conf.get(key, None)
+        if value is not None:
+            session.conf.set(key, value)
     # Without adaptive execution, rebalancing would put a whole partition into one task.
     session.conf.set("spark.sql.adaptive.enabled", "true")
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

@@ -15,6 +15,7 @@ from vintage.operators.filters import for_run
 from vintage.operators.upsert import overwrite, replace_partitions, writer_session
 from vintage.schemas import Layers
 
+
 def run_log_row(
     spark: SparkSession,
     run_id: str,
@@ -63,8 +64,8 @@ def logged_stage(spark: SparkSession, layers: Layers, run_id: str, pipeline: str
     error = None
     try:
         yield counts
-    except Exception as e:
-        error = str(e)
+    except BaseException as e:
+        error = str(e) or type(e).__name__
         counts["row_count_out"] = 0
         raise
     finally:
