@@ -25,6 +25,14 @@ from vintage.sources import landing, ledger
 from vintage.sources.load import load_batch
 from vintage.streaming.ingest import stream_ingest
 
+try:
+    import corpus_pipeline
+    from vintage.llm import queries as llm
+except ImportError as missing:
+    if missing.name not in ("corpus_pipeline", "vintage.llm"):
+        raise
+    llm = None
+
 RUN = "run_9"
 AS_OF = "2024-01-15 12:00:00"
 CUT = "2024-01-20 12:00:00"
@@ -475,8 +483,13 @@ def entry(spark: SparkSession) -> DataFrame:
     return latest(spark, "/root/testdata/sf0.001")
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Those of the subpackage ``llm``, if it is there."""
+    return llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return _llm_queries() | {
         "latest": latest,
         "latest_as_of": latest_as_of,
         "revision_history": revision_history,
@@ -779,7 +792,7 @@ def _materialized_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     deaths_suite, activity_suite = _suites()
     fact_columns = f"{_key('state')} AS state_key, {_DEATHS_COLUMNS}"
-    return {
+    return (llm.oracle_sql() if llm else {}) | {
         "latest": _with(_latest_sql("reports", "snapshot_date, state", fact_columns)),
         "latest_as_of": _with(
             _latest_sql("reports", "snapshot_date, state", fact_columns, f"ingested_at <= TIMESTAMP '{AS_OF}'")
