@@ -132,9 +132,10 @@ def allocate(parts: list[list[int]], means: np.ndarray, n: int, distance: int) -
 
 def plan(n: int, gram: np.ndarray, distance: int = DISTANCE) -> list[tuple[list[int], int]]:
     """(bits, threshold) of the parts to probe."""
-    means = np.diag(gram) / max(n, 1)
+    n = max(n, 1)
+    means = np.diag(gram) / n
     spread = np.sqrt(np.maximum(means * (1 - means), 1e-12))
-    correlation = np.abs((gram / max(n, 1) - np.outer(means, means)) / np.outer(spread, spread))
+    correlation = np.abs((gram / n - np.outer(means, means)) / np.outer(spread, spread))
     np.fill_diagonal(correlation, 0)
     options = []
     for m in range(2, distance + 2):
@@ -192,7 +193,8 @@ def classes(df: DataFrame, carry: list[str], shingle: int = SHINGLE, distance: i
     firsts = prints.join(merged, F.col("fp") == F.col("of"), "left").select(
         "fp", F.coalesce("head", "first").alias("first")
     )
-    return rows, firsts
+    # Staged, so that joins with the rows shuffle both sides, and a fingerprint of many rows can be split.
+    return rows, stage(firsts)
 
 
 def near_duplicates(df: DataFrame, carry: list[str], shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
