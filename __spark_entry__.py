@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from vintage.feeds import ACTIVITY, ACTIVITY_LEVELS, DEATHS, Feed
 from vintage.functions.columns import lower_columns, ntz
+from vintage.functions.skew import with_versions
 from vintage.operators import anomaly, filters, paging, rules, versions
 from vintage.plans import feed_run, models
 from vintage.schemas import KEYS, PERIOD_KEYS, VERSION, Layers, create_tables
@@ -96,6 +97,16 @@ ACTIVITY_RECORDS = """
            cast(event_id AS string) AS unlisted_key
     FROM {events}
 """
+# A fifth of the rows stands three times.
+COPIES = """
+    SELECT snapshot_date, state, run_id, ingested_at, covid_19_deaths
+    FROM {reports} AS r JOIN (SELECT 0 AS copy UNION ALL SELECT 1 UNION ALL SELECT 2) AS c ON copy = 0 OR event_id % 5 = 0
+"""
+WITH_NAN = """
+    SELECT run_id, snapshot_date, state,
+           CASE WHEN event_id % 13 = 0 THEN cast('NaN' AS double) ELSE cast(covid_19_deaths AS double) / 4 END AS value
+    FROM {reports}
+"""
 # One value per (day, user): unique keys, so these records pass the uniqueness rule.
 DAILY = """
     SELECT cast(ts AS date) AS day, user_id, count(*) AS n, cast(sum(floor(value)) AS bigint) AS total
@@ -334,6 +345,28 @@ def page_ordered(spark, sf_dir):
     return paging.page(_table(spark, sf_dir, "orders"), ("o_orderdate", "o_orderkey"), paging.PAGE_SIZE, 1)
 
 
+def page_deep(spark, sf_dir):
+    """A page across the end of the null dates, found through many small slices."""
+    dated = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate"))
+    keys = _table(spark, sf_dir, "orders").select(dated.alias("o_orderdate"), "o_orderkey", "o_custkey")
+    return paging.page(keys, ("o_orderdate", "o_orderkey"), 100, 2, slice_rows=200)
+
+
+def versions_all(spark, sf_dir):
+    """Every copy of every row is a version, also in groups that are cut into slices."""
+    copies = spark.sql(COPIES, reports=_reports(spark, sf_dir))
+    order = ("ingested_at", "run_id", METRIC)
+    return with_versions(copies, ("snapshot_date", "state"), order, METRIC, hot_rows=50)
+
+
+def z_scores_double(spark, sf_dir):
+    """Scores of a floating metric in which a NaN is a missing value."""
+    raw = spark.sql(WITH_NAN, reports=_reports(spark, sf_dir))
+    current = anomaly.current_run(raw, RUN, "state", "value")
+    scored = anomaly.z_scores(current, anomaly.history(raw, RUN, "state", "value"), "state", "value")
+    return _rounded(scored, "mean", "std", "z_score")
+
+
 def stream_ingested(spark, sf_dir):
     layers = _layers(spark)
     path = _land(spark, _view(spark, sf_dir, DEATHS_RECORDS))
@@ -519,6 +552,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_activity": ingest_activity,
         "payload_extract": payload_extract,
         "page_ordered": page_ordered,
+        "page_deep": page_deep,
+        "versions_all": versions_all,
+        "z_scores_double": z_scores_double,
         "stream_ingested": stream_ingested,
         "upsert_deaths": upsert_deaths,
         "upsert_activity": upsert_activity,
@@ -876,6 +912,22 @@ def oracle_sql() -> dict[str, str]:
         "page_ordered": f"""
             SELECT * FROM orders ORDER BY o_orderdate, o_orderkey
             LIMIT {paging.PAGE_SIZE} OFFSET {paging.PAGE_SIZE}""",
+        "page_deep": """
+            SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS o_orderdate, o_orderkey, o_custkey FROM orders
+            ORDER BY 1 NULLS FIRST, 2 LIMIT 100 OFFSET 200""",
+        "versions_all": _with(
+            f"""SELECT *, row_number() OVER w AS version_number, lag(covid_19_deaths) OVER w AS previous_value
+                FROM ({COPIES.replace("{reports}", "reports")})
+                WINDOW w AS (PARTITION BY snapshot_date, state ORDER BY ingested_at, run_id, covid_19_deaths NULLS LAST)"""
+        ),
+        "z_scores_double": _with(
+            """SELECT c.run_id, c.snapshot_date, c.state, c.value, round(mean, 6) AS mean, round(std, 6) AS std, n,
+                      round((c.value - mean) / std, 6) AS z_score
+               FROM nans c JOIN (SELECT state, avg(value) AS mean, stddev_samp(value) AS std, count(*) AS n FROM nans
+                                 WHERE run_id <> 'run_9' AND NOT isnan(value) GROUP BY state) s ON c.state = s.state
+               WHERE c.run_id = 'run_9' AND NOT isnan(c.value) AND n >= 8 AND std <> 0""",
+            nans=WITH_NAN.replace("{reports}", "reports"),
+        ),
         "stream_ingested": _ingest_sql(DEATHS_RECORDS, "run_covid_0000000000", _DEATHS_INGESTED),
         "upsert_deaths": _upsert_sql("reports", _DEATHS_COLUMNS),
         "upsert_activity": _upsert_sql("activity", _ACTIVITY_COLUMNS),

@@ -54,6 +54,19 @@ def test_weekly_runs(spark, layers, tmp_path):
     assert score_run(spark, DEATHS, "run_2", layers) == 0 and spark.table(layers.flags).isEmpty()
 
 
+def test_a_reloaded_run_is_judged_again(spark, layers, tmp_path):
+    good = land(tmp_path / "good", "lines", [feed_week("2026-09-05", 5)])
+    run_feed(spark, DEATHS, good, layers, run_id="run_1")
+    raw = spark.table(layers.raw_table(DEATHS))
+    assert only_passed(raw, spark.table(layers.run_log)).count() == 1
+    bad = land(tmp_path / "bad", "lines", [feed_week("2026-09-05", -7)])
+    with pytest.raises(ValidationFailed):
+        run_feed(spark, DEATHS, bad, layers, run_id="run_1", lookback_days=30)
+    raw = spark.table(layers.raw_table(DEATHS))
+    assert stages(spark, layers)[-1][:3] == ("run_1", "validate", "failure") or ("run_1", "validate", "failure") in [r[:3] for r in stages(spark, layers)]
+    assert raw.count() == 1 and only_passed(raw, spark.table(layers.run_log)).count() == 0
+
+
 def test_failed_validation_stops_and_is_not_retried(spark, layers, tmp_path):
     path = land(tmp_path / "in", "pages", [feed_week("2026-09-05"), feed_week("2026-09-05", -1, "Ohio"), feed_week("2026-09-05", -1, "Ohio")])
     with pytest.raises(ValidationFailed) as stop:

@@ -64,10 +64,25 @@ def test_hot_groups_match_brute_force(spark, hot_rows):
     assert tuples(got) == brute_force(rows)
 
 
-def test_with_versions_keeps_every_distinct_row(spark):
-    rows = [version(i % 7, i % 5, "hot", 1 + i % 31) for i in range(500)] + [version(1, 1, "cold")]
-    got = with_versions(frame(spark, rows), KEYS, (*VERSION, "covid_19_deaths"), "covid_19_deaths", 20)
-    assert {r[:5] for r in tuples(got, *[c.split()[0] for c in SCHEMA.split(", ")])} == set(rows)
+@pytest.mark.parametrize("hot_rows", [20, 100, 10**6])
+def test_with_versions_keeps_every_copy(spark, hot_rows):
+    rows = [version(i % 7, i % 5, "hot", 1 + i % 31) for i in range(500)] + [version(1, 1, "cold")] * 3
+    columns = [c.split()[0] for c in SCHEMA.split(", ")]
+    got = with_versions(frame(spark, rows), KEYS, (*VERSION, "covid_19_deaths"), "covid_19_deaths", hot_rows)
+    assert tuples(got, *columns) == sorted(rows, key=repr)
+    plain = with_versions(frame(spark, rows), KEYS, (*VERSION, "covid_19_deaths"), "covid_19_deaths", 10**7)
+    assert tuples(got) == tuples(plain)
+    assert sorted(r["version_number"] for r in got.where("state = 'hot'").collect()) == list(range(1, 501))
+
+
+def test_more_hot_groups_than_are_broadcast_are_all_split(spark, monkeypatch):
+    monkeypatch.setattr("vintage.functions.skew.BROADCAST_GROUPS", 2)
+    rows = [version(i % 7, i % 5, f"s{i % 6}", 1 + i % 31) for i in range(600)]
+    assert hot_groups(frame(spark, rows), KEYS, 50).count() == 6
+    results = [
+        tuples(with_versions(frame(spark, rows), KEYS, (*VERSION, "covid_19_deaths"), "covid_19_deaths", n)) for n in (50, 10**6)
+    ]
+    assert results[0] == results[1]
 
 
 def test_hot_groups_are_counted_per_null_safe_key(spark):

@@ -58,6 +58,12 @@ def changed(previous: str | Column, current: str | Column) -> Column:
     return _col(previous).isNotNull() & (_col(current) != _col(previous))
 
 
+def nan_as_null(df: DataFrame, *columns: str) -> DataFrame:
+    """NaN in the given columns of floating type (all by default) turned into null."""
+    floating = [f.name for f in df.schema if f.dataType.typeName() in ("float", "double") and (not columns or f.name in columns)]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating}) if floating else df
+
+
 def z_score(x: str | Column, mean: str | Column, std: str | Column) -> Column:
     """Distance from the mean in standard deviations; null where the spread is 0 or unknown."""
     return (_col(x) - _col(mean)) / F.nullif(_col(std), F.lit(0.0))

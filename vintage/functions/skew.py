@@ -1,9 +1,11 @@
 """Work per group when one group may hold a large share of all rows.
 
 A window or a join puts a whole group into one task. Groups of about ``hot_rows`` rows or more are
-listed first. Such a list is short, so joins can broadcast what concerns it; windows cut the listed
+listed first. Joins broadcast what concerns such a list as long as it is short; windows cut the listed
 groups into slices of the sort order and number slice by slice. Without hot groups, the usual case,
-the plan is the plain one. The list only picks the plan: every row is used, the result is the same.
+the plan is the plain one. The list only picks the plan: every row is used, the same bag of rows comes
+out. (The adaptive planner's own skew join does not split a side that meets the result of a distinct
+or a groupBy, which is every use here.)
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ from vintage.session import pin
 
 HOT_ROWS = 1_000_000
 COUNTED_ROWS = 1_000
-MAX_HOT_GROUPS = 10_000
-MAX_SLICES = 20_000
+#: Longer lists are joined without a broadcast hint.
+BROADCAST_GROUPS = 10_000
 
 
 def hot_groups(df: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -27,25 +29,22 @@ def hot_groups(df: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -
 
     Sizes are estimated from a share of the rows in which a group of that size still shows
     COUNTED_ROWS times, so next to nothing is shuffled; a borderline group may fall on either side.
-    About ``rows / hot_rows`` groups can qualify; if that is more than fits the driver the bound is
-    raised, so the list stays small.
     """
     share = min(1.0, COUNTED_ROWS / hot_rows)
     seen = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=1)
     sizes = seen.groupBy(*keys).agg((F.count(F.lit(1)) / share).cast("bigint").alias("n"))
-    while True:
-        found = sizes.where(F.col("n") > hot_rows).limit(MAX_HOT_GROUPS + 1).collect()
-        if not found:
-            return None
-        if len(found) <= MAX_HOT_GROUPS:
-            return df.sparkSession.createDataFrame(found, sizes.schema)
-        hot_rows *= 10
+    found = pin(sizes.where(F.col("n") > hot_rows))
+    return None if found.isEmpty() else found
 
 
-def split_hot(df: DataFrame, listed: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """Rows outside and inside the listed groups. Small: ``listed`` holds at most MAX_HOT_GROUPS rows."""
-    cold = join_on_equal_or_null(df, listed, keys, "left_anti", small=True)
-    return cold, join_on_equal_or_null(df, listed, keys, "left_semi", small=True)
+def is_short(listed: DataFrame) -> bool:
+    return listed.count() <= BROADCAST_GROUPS
+
+
+def split_hot(df: DataFrame, listed: DataFrame, keys: tuple[str, ...], small: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows outside and inside the listed groups."""
+    cold = join_on_equal_or_null(df, listed, keys, "left_anti", small)
+    return cold, join_on_equal_or_null(df, listed, keys, "left_semi", small)
 
 
 def join_groups(
@@ -70,10 +69,10 @@ def join_groups(
     hot = hot_groups(df, keys, hot_rows)
     if hot is None:
         return join(df, groups, small=False)
-    listed = hot.select(*keys)
-    cold, big = split_hot(df, listed, keys)
-    needed = join_on_equal_or_null(groups, listed, keys, "left_semi", small=True)
-    return join(cold, groups, small=False).unionByName(join(big, needed, small=True))
+    listed, small = hot.select(*keys), is_short(hot)
+    cold, big = split_hot(df, listed, keys, small)
+    needed = join_on_equal_or_null(groups, listed, keys, "left_semi", small)
+    return join(cold, groups, small=False).unionByName(join(big, needed, small))
 
 
 def with_versions(
@@ -85,16 +84,16 @@ def with_versions(
 ) -> DataFrame:
     """Add ``version_number`` and ``previous_value`` of ``value`` per group of ``keys``.
 
-    Copies (rows equal in every column) of a hot group come back as one row holding the version
-    number of the first copy.
+    Every copy of a row is a version of its own, in a hot group as in any other.
     """
     hot = hot_groups(df, keys, hot_rows)
     if hot is None:
         return _numbered(df, keys, order, value)
-    cold, big = split_hot(df, hot.select(*keys), keys)
-    slices = min(math.ceil(hot.agg(F.sum("n")).first()[0] / hot_rows) + 1, MAX_SLICES)
+    small = is_short(hot)
+    cold, big = split_hot(df, hot.select(*keys), keys, small)
+    slices = math.ceil(hot.agg(F.sum("n")).first()[0] / hot_rows) + 1
     return _numbered(cold, keys, order, value).unionByName(
-        _numbered_in_slices(big, keys, order, value, slices)
+        _numbered_in_slices(big, keys, order, value, slices, small and slices <= BROADCAST_GROUPS)
     )
 
 
@@ -112,28 +111,25 @@ def _numbered(df: DataFrame, keys, order, value) -> DataFrame:
     )
 
 
-def _numbered_in_slices(df: DataFrame, keys, order, value, slices: int) -> DataFrame:
+def _numbered_in_slices(df: DataFrame, keys, order, value, slices: int, small: bool) -> DataFrame:
     columns = df.columns
-    # Copies collapse before the shuffle; they are adjacent in the order and share one value.
-    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    # Range bounds are drawn from the data, so the slice of a row must be fixed before it is used.
+    # A number per copy, so that copies too can fall into several slices. Range bounds are drawn from
+    # the data, so the number and the slice of a row must be fixed before they are used.
+    rows = pin(df.withColumn("_copy", F.monotonically_increasing_id()))
+    in_order = [*_ascending(order), F.col("_copy")]
     sliced = pin(
-        rows.repartitionByRange(slices, *[F.col(k) for k in keys], *_ascending(order)).withColumn(
+        rows.repartitionByRange(slices, *[F.col(k) for k in keys], *in_order).withColumn(
             "_slice", F.spark_partition_id()
         )
     )
-    within = Window.partitionBy("_slice", *keys).orderBy(*_ascending(order))
-    up_to_here = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("_slice", *keys).orderBy(*in_order)
     local = sliced.select(
-        "*",
-        F.row_number().over(within).alias("_position"),
-        F.sum("_copies").over(up_to_here).alias("_seen"),
-        F.lag(value).over(within).alias("_previous"),
+        "*", F.row_number().over(within).alias("_position"), F.lag(value).over(within).alias("_previous")
     )
     ends = local.groupBy("_slice", *keys).agg(
-        F.max("_seen").alias("_rows"), F.max_by(value, "_seen").alias("_last")
+        F.max("_position").alias("_rows"), F.max_by(value, "_position").alias("_last")
     )
-    # Small: a slice holds whole groups but for its first and last, so slices + hot groups rows.
+    # A slice holds whole groups but for its first and last, so slices + hot groups rows.
     earlier = Window.partitionBy(*keys).orderBy("_slice")
     starts = ends.select(
         "_slice",
@@ -141,9 +137,9 @@ def _numbered_in_slices(df: DataFrame, keys, order, value, slices: int) -> DataF
         F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
         F.lag("_last").over(earlier).alias("_last_before"),
     )
-    return join_on_equal_or_null(local, starts, ("_slice", *keys), "inner", small=True).select(
+    return join_on_equal_or_null(local, starts, ("_slice", *keys), "inner", small).select(
         *columns,
-        (F.coalesce("_before", F.lit(0)) + F.col("_seen") - F.col("_copies") + 1).alias("version_number"),
+        (F.coalesce("_before", F.lit(0)) + F.col("_position")).alias("version_number"),
         F.when(F.col("_position") == 1, F.col("_last_before"))
         .otherwise(F.col("_previous"))
         .alias("previous_value"),

@@ -11,6 +11,7 @@ from vintage.functions.columns import (
     MIN_HISTORY_POINTS,
     Z_THRESHOLD,
     is_outlier,
+    nan_as_null,
     ntz,
     scorable,
     surrogate_key,
@@ -32,7 +33,8 @@ def history(df: DataFrame, run_id: str, by: str, metric: str) -> DataFrame:
 def group_stats(past: DataFrame, by: str, metric: str) -> DataFrame:
     """Mean, sample deviation and count per group; combined before the shuffle, null group left out."""
     return (
-        past.where(F.col(by).isNotNull())
+        nan_as_null(past, metric)
+        .where(F.col(by).isNotNull())
         .groupBy(by)
         .agg(
             F.avg(metric).alias("mean"),
@@ -51,7 +53,7 @@ def z_scores(
     current: DataFrame, past: DataFrame, by: str, metric: str, min_points: int = MIN_HISTORY_POINTS
 ) -> DataFrame:
     """Score of every current value that has enough varied history."""
-    known = current.where(F.col(metric).isNotNull() & F.col(by).isNotNull())
+    known = nan_as_null(current, metric).where(F.col(metric).isNotNull() & F.col(by).isNotNull())
     scored = with_group_stats(known, group_stats(past, by, metric), by).where(
         scorable("n", "std", min_points)
     )

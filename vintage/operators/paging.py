@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from vintage.session import pin
 
 PAGE_SIZE = 5000
-SHALLOW_ROWS = 1_000_000
+SLICE_ROWS = 1_000_000
 
 
-def page(df: DataFrame, order: tuple[str, ...], size: int, n: int, shallow_rows: int = SHALLOW_ROWS) -> DataFrame:
-    """Page ``n`` (from 0) of ``size`` rows. ``order`` must be unique per row.
+def page(df: DataFrame, order: tuple[str, ...], size: int, n: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Page ``n`` (from 0) of ``size`` rows. ``order`` must be unique per row; nulls come first.
 
-    Near the front this is a top-k. Deeper, the top-k itself would grow with the offset, so the
-    page's first key is located by counting and the page read from there.
+    The page's first key is located by counting range slices of the keys, and the page is read from
+    there, so no task sees more than a slice or a page, however deep the page lies.
     """
-    start = n * size
-    if start + size <= shallow_rows:
-        return df.orderBy(*order).offset(start).limit(size)
-    first = _key_at(df.select(*order), order, start, shallow_rows)
+    first = _key_at(df.select(*order), order, n * size, slice_rows)
     if first is None:
         return df.limit(0)
     return _from_key(df, order, first, inclusive=True).orderBy(*order).limit(size)
@@ -34,33 +29,24 @@ def page_after(df: DataFrame, order: tuple[str, ...], size: int, last: Row | Non
     return rows.orderBy(*order).limit(size)
 
 
-def pages(df: DataFrame, order: tuple[str, ...], size: int = PAGE_SIZE) -> Iterator[list[Row]]:
-    """Pages in order; stops after a short or empty page."""
-    last = None
-    while rows := page_after(df, order, size, last).collect():
-        yield rows
-        if len(rows) < size:
-            return
-        last = rows[-1]
-
-
 def _from_key(df: DataFrame, order: tuple[str, ...], key: Row, inclusive: bool) -> DataFrame:
     literals = [F.lit(key[c]).cast(df.schema[c].dataType) for c in order]
+    # Structs compare null-safely, a null being smallest, as in the order.
     here: Column = F.struct(*[F.col(c) for c in order])
     there: Column = F.struct(*[v.alias(c) for v, c in zip(literals, order)])
+    rows = df.where(here >= there if inclusive else here > there)
     # The leading column alone repeats the condition in a form the scan can prune on.
-    lead = F.col(order[0]) >= literals[0]
-    return df.where(lead & (here >= there if inclusive else here > there))
+    return rows if key[order[0]] is None else rows.where(F.col(order[0]) >= literals[0])
 
 
 def _key_at(keys: DataFrame, order: tuple[str, ...], position: int, slice_rows: int) -> Row | None:
     """The key at ``position`` in the order, found through the row counts of range slices."""
     slices = keys.count() // slice_rows + 1
     sliced = pin(keys.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
-    # One count per slice.
-    for row in sorted(sliced.groupBy("_slice").count().collect()):
-        if position < row["count"]:
-            inside = sliced.where(F.col("_slice") == row["_slice"]).select(*order)
-            return inside.orderBy(*order).offset(position).limit(1).first()
-        position -= row["count"]
-    return None
+    upto = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = sliced.groupBy("_slice").count().withColumn("_upto", F.sum("count").over(upto))
+    holding = counts.where(F.col("_upto") > position).orderBy("_slice").first()
+    if holding is None:
+        return None
+    inside = sliced.where(F.col("_slice") == holding["_slice"]).select(*order)
+    return inside.orderBy(*order).offset(position - (holding["_upto"] - holding["count"])).limit(1).first()

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintage.functions.columns import percent
+from vintage.functions.columns import nan_as_null, percent
 from vintage.functions.skew import HOT_ROWS, join_groups
 
 SAMPLE_SIZE = 20
@@ -150,8 +150,10 @@ def duplicate_rows(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 def validate(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """One row per rule with its counts and verdict; every rule is evaluated, none stops another.
 
-    All rules on single rows share one aggregation; a uniqueness rule adds one grouped count.
+    All rules on single rows share one aggregation; a uniqueness rule adds one grouped count. A NaN
+    counts as missing.
     """
+    df = nan_as_null(df)
     measures, results = [], []
     for i, rule in enumerate(rules):
         if rule.by_key:
@@ -192,7 +194,8 @@ def validate(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def violations(df: DataFrame, rule: Rule, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The rows that break the rule."""
+    """The rows that break the rule; a NaN comes back as null."""
+    df = nan_as_null(df)
     if not rule.by_key:
         return df.where(rule.unexpected())
     checked = df.where(rule.evaluated())

@@ -11,7 +11,7 @@ from vintage.feeds import Feed
 from vintage.functions.columns import new_run_id, utc_now
 from vintage.operators.anomaly import anomalies, anomaly_flags, current_run, history
 from vintage.operators.filters import for_run, last_period, newer_than
-from vintage.operators.rules import require_success, sample_violations, validate
+from vintage.operators.rules import ValidationFailed, require_success, sample_violations, validate
 from vintage.operators.upsert import writer_session
 from vintage.schemas import Layers
 from vintage.sources.landing import read_landing, string_fields, typed_rows
@@ -116,12 +116,19 @@ def run_feed(
     records = read_landing(spark, landing, layout, modified_after)
     load = load_batch(spark, feed, ingest(records, feed, mark, run_id, now, lookback_days), run_id, layers)
     log = spark.table(layers.run_log)
-    checked = {r: check_run(spark, feed, r, layers) for r in pending_runs(log, feed.pipeline, "load", "validate")}
+    checked, failed = {}, []
+    for pending in pending_runs(log, feed.pipeline, "load", "validate"):
+        try:
+            checked[pending] = check_run(spark, feed, pending, layers)
+        except ValidationFailed as e:  # an older run must not keep this one from being judged
+            failed.append(e)
     scored = {}
     if feed.metric:
         log = spark.table(layers.run_log)
         runs = pending_runs(log, feed.pipeline, "validate", "anomaly_detection", retry_failed=True)
         scored = {r: score_run(spark, feed, r, layers) for r in runs}
+    if failed:
+        raise ValidationFailed("; ".join(map(str, failed)), [row for e in failed for row in e.failures])
     return {
         "run_id": run_id if load["row_count_in"] else None,
         "mark": mark,

@@ -92,7 +92,7 @@ VIEWS = ("data_freshness_by_state", "pipeline_run_summary")
 
 
 def relation_name(schema: str | None, model: str, default: str) -> str:
-    """A declared schema is used as it is; a model without one lands in the default database."""
+    """A declared schema is used as it is; a model without one lands in the default one."""
     return f"{(schema or default).strip()}.{model}"
 
 

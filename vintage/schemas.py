@@ -57,6 +57,10 @@ class Layers:
         return f"{self.observability}.{FLAGS}"
 
 
+#: Columns of a raw table that no row may leave empty.
+REQUIRED = ("run_id", "snapshot_date", "ingested_at")
+
+
 def raw_ddl(feed: Feed) -> str:
     fields = ", ".join(f"{name} {kind}" for name, _, kind in feed.fields)
     return (

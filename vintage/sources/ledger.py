@@ -115,26 +115,40 @@ def failure_alerts(log: DataFrame) -> DataFrame:
     )
 
 
-def passed_runs(log: DataFrame) -> list[str]:
-    """Runs whose validation succeeded: as many names as raw has partitions."""
-    passed = log.where((F.col("stage") == "validate") & (F.col("status") == "success"))
-    return [row["run_id"] for row in passed.select("run_id").distinct().collect()]
+def _last(log: DataFrame, stage: str) -> DataFrame:
+    """Per run the time and status of the last row of a stage."""
+    last = F.max(F.struct("logged_at", "status")).alias("last")
+    return log.where(F.col("stage") == stage).groupBy("run_id").agg(last).select("run_id", "last.*")
+
+
+def _last_success(log: DataFrame, stage: str) -> DataFrame:
+    done = log.where((F.col("stage") == stage) & (F.col("status") == "success"))
+    return done.groupBy("run_id").agg(F.max("logged_at").alias("done_at"))
+
+
+def passed_runs(log: DataFrame) -> DataFrame:
+    """Runs (run_id) whose last validation succeeded and judged what was loaded last."""
+    loaded = _last_success(log, "load").withColumnRenamed("run_id", "loaded_run")
+    verdicts = _last(log, "validate").where(F.col("status") == "success")
+    judged = verdicts.join(loaded, F.col("run_id") == F.col("loaded_run"), "left")
+    return judged.where(F.col("done_at").isNull() | (F.col("logged_at") >= F.col("done_at"))).select("run_id")
 
 
 def only_passed(df: DataFrame, log: DataFrame) -> DataFrame:
-    """Rows of runs that passed validation; the partitions of rejected runs are not read."""
-    return df.where(F.col("run_id").isin(passed_runs(log)))
+    """Rows of runs that passed validation."""
+    return df.join(passed_runs(log), "run_id", "left_semi")
 
 
 def pending_runs(log: DataFrame, pipeline_name: str, done: str, missing: str, retry_failed: bool = False) -> list[str]:
-    """Runs that completed stage ``done`` and never entered ``missing``, e.g. because the driver stopped.
+    """Runs whose last success of stage ``done`` is not followed by stage ``missing``.
 
-    With ``retry_failed`` a failed attempt at ``missing`` does not count. Normally one run.
+    The driver may have stopped in between, or the run was loaded again. With ``retry_failed`` a failed
+    attempt at ``missing`` does not count. Normally one run.
     """
     mine = log.where(F.col("pipeline_name") == pipeline_name)
-    completed = mine.where((F.col("stage") == done) & (F.col("status") == "success"))
-    entered = mine.where(F.col("stage") == missing)
-    if retry_failed:
-        entered = entered.where(F.col("status") == "success")
-    pending = completed.select("run_id").distinct().join(entered.select("run_id"), "run_id", "left_anti")
+    entered = _last_success(mine, missing) if retry_failed else _last(mine, missing).withColumnRenamed("logged_at", "done_at")
+    entered = entered.select("run_id", F.col("done_at").alias("entered_at"))
+    pending = _last_success(mine, done).join(entered, "run_id", "left").where(
+        F.col("entered_at").isNull() | (F.col("entered_at") < F.col("done_at"))
+    )
     return [row["run_id"] for row in pending.orderBy("run_id").collect()]

@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vintage.feeds import Feed
 from vintage.functions.columns import utc_now
 from vintage.operators.upsert import upsert_table
-from vintage.schemas import KEYS, Layers
+from vintage.schemas import KEYS, REQUIRED, Layers
 from vintage.sources.ledger import logged_stage
 
 EMPTY_LOAD = {"row_count_in": 0, "row_count_out": 0, "status": "success"}
 
 
+def _require(rows: DataFrame, columns: tuple[str, ...]) -> None:
+    """Raise if a column that the raw table declares NOT NULL holds a null; Parquet tables don't check."""
+    nulls = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first().asDict()
+    if found := {c: n for c, n in nulls.items() if n}:
+        raise ValueError(f"nulls in columns that must not be null: {found}")
+
+
 def load_batch(spark: SparkSession, feed: Feed, batch: DataFrame, run_id: str, layers: Layers = Layers()) -> dict:
     """Stage the batch, upsert it into the raw table, log the outcome.
 
@@ -30,6 +38,7 @@ def load_batch(spark: SparkSession, feed: Feed, batch: DataFrame, run_id: str, l
             return dict(EMPTY_LOAD)
         with logged_stage(spark, layers, run_id, feed.pipeline, "load") as counts:
             counts["row_count_in"] = rows
+            _require(spark.table(staging), REQUIRED)
             upsert_table(spark, layers.raw_table(feed), staging, KEYS)
             counts["row_count_out"] = rows
         return {"row_count_in": rows, "row_count_out": rows, "status": "success"}
