@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from vintage.llm.staging import scratch
+from vintage.llm.staging import scratch, stage
 
 #: Selector - 1 -> ids a word, bits an id.
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -41,7 +41,7 @@ BLOCK_IDS = 1 << 18
 END_ID = 2
 CACHED_WORDS, CACHED_PARTS = 600_000, 1_000_000
 _PUNCTUATION = string.punctuation.encode()
-BATCH_CHARS = 1_000_000
+BATCH_BYTES = 1_000_000
 GROUP = 500
 BLOCKS = "part int, place long, before long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
@@ -208,9 +208,9 @@ class WordTokenizer:
         ids, ends = self.parts.get(places)
         self.words.add(ids, np.diff(ends[np.concatenate(([0], np.cumsum(counts)))]))
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, and how many each has."""
-        split = [t.encode().split() if t else [] for t in texts]
+    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (UTF-8), and how many each has."""
+        split = [t.split() if t else [] for t in texts]
         if len(self.words.known) > CACHED_WORDS:
             self.words = Ids()
         places = self.words.places(chain.from_iterable(split))
@@ -228,14 +228,14 @@ def tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with a bounded number of characters, a longer text alone."""
-    start, chars = 0, 0
+def _chunks(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with a bounded number of bytes, a longer text alone."""
+    start, size = 0, 0
     for i, text in enumerate(texts):
-        if i > start and chars + len(text or "") > BATCH_CHARS:
+        if i > start and size + len(text or b"") > BATCH_BYTES:
             yield start, i
-            start, chars = i, 0
-        chars += len(text or "")
+            start, size = i, 0
+        size += len(text or b"")
     if texts:
         yield start, len(texts)
 
@@ -252,9 +252,9 @@ def write(df: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, block
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _SCHEMA, strict=True)], schema=_SCHEMA)
 
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), batch.column(1)
-            for lo, hi in _chunks(texts.to_pylist()):
-                flat, counts = encode(texts.slice(lo, hi - lo).to_pylist())
+            docs, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
+            for lo, hi in _chunks(texts):
+                flat, counts = encode(texts[lo:hi])
                 flat = np.insert(flat, np.cumsum(counts), end_id)
                 doc_ids, size = doc_ids + docs[lo:hi], size + len(flat)
                 lengths.append(counts + 1)
@@ -286,7 +286,8 @@ def read(spark, path: str) -> DataFrame:
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("offset"))
-    return blocks.join(offsets, "part").withColumn("start", F.col("offset") + F.col("before"))
+    # Staged, its size is known, so that the blocks need not be shuffled to meet it.
+    return blocks.join(stage(offsets), "part").withColumn("start", F.col("offset") + F.col("before"))
 
 
 def documents(blocks: DataFrame, with_ids: bool = False) -> DataFrame:
