@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -462,6 +463,27 @@ def materialize_models(spark, sf_dir):
     return counts
 
 
+def published_marts(spark, sf_dir):
+    """The contents of marts and freshness view as written: one build, then a second over it."""
+    layers = _layers(spark)
+    _append(_reports(spark, sf_dir), DEATHS, layers)
+    _append(_activity(spark, sf_dir), ACTIVITY, layers)
+    models.build_models(spark, layers)
+    built = models.build_models(spark, layers)
+    null = F.lit(None)
+    run, ingested, value = null.cast("string"), null.cast("timestamp_ntz"), null.cast("bigint")
+    key, day = null.cast("string"), null.cast("date")
+    columns = {
+        "fct_cases_as_reported": ("state_key", "snapshot_date", "run_id", "ingested_at", "covid_19_deaths"),
+        "fct_cases_latest": ("state_key", "snapshot_date", "run_id", "ingested_at", "covid_19_deaths"),
+        "dim_state": ("state_key", day, run, ingested, value),
+        "data_freshness_by_state": (key, "latest_snapshot_date", run, "latest_ingested_at", value),
+    }
+    parts = [spark.table(built[m]).select(F.lit(m), "state", *c) for m, c in columns.items()]
+    names = ("model", "state", "state_key", "snapshot_date", "run_id", "ingested_at", "covid_19_deaths")
+    return reduce(DataFrame.union, parts).toDF(*names)
+
+
 def _daily_log(spark: SparkSession, layers: Layers) -> DataFrame:
     return spark.table(layers.run_log).select(*_LOG_COLUMNS)
 
@@ -563,6 +585,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "failure_alerts": failure_alerts,
         "lower_columns": lowered,
         "materialize_models": materialize_models,
+        "published_marts": published_marts,
         "refresh_models": refresh_models,
         "feed_run_deaths": feed_run_deaths,
         "feed_run_flags": feed_run_flags,
@@ -679,6 +702,20 @@ def _violations_sql() -> str:
     )
 
 
+def _published_sql() -> str:
+    latest_rows = _latest_sql("reports", "snapshot_date, state", "*")
+    row = f"state, {_key('state')} AS state_key, snapshot_date, run_id, ingested_at, covid_19_deaths"
+    none = "cast(NULL AS varchar) AS run_id"
+    return f"""
+        SELECT 'fct_cases_as_reported' AS model, {row} FROM reports
+        UNION ALL SELECT 'fct_cases_latest', {row} FROM ({latest_rows})
+        UNION ALL SELECT 'dim_state', state, {_key('state')}, NULL, {none}, NULL, NULL
+            FROM (SELECT state FROM reports UNION SELECT state FROM activity) WHERE state IS NOT NULL
+        UNION ALL SELECT 'data_freshness_by_state', state, NULL, max(snapshot_date), {none}, max(ingested_at), NULL
+            FROM ({latest_rows}) GROUP BY state
+    """
+
+
 def _model_tests_sql() -> str:
     latest_rows = _latest_sql("reports", "snapshot_date, state", "*")
     tables = {
@@ -944,6 +981,7 @@ def oracle_sql() -> dict[str, str]:
             FROM logs WHERE status = 'failure'"""),
         "lower_columns": "SELECT * FROM events",
         "materialize_models": _with(_materialized_sql()),
+        "published_marts": _with(_published_sql()),
         "refresh_models": _with(_revisions_sql("bigint")),
         "feed_run_deaths": _with(_feed_run_deaths_sql(), scored=_daily_scored_sql(), flagged=_FLAGGED),
         "feed_run_flags": _with(

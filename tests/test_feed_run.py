@@ -3,13 +3,25 @@ from datetime import date
 
 import pytest
 from conftest import tuples
+from pyspark.sql import functions as F
 from test_ingest import death, land
 
 from vintage.feeds import ACTIVITY, DEATHS
 from vintage.operators.rules import ValidationFailed
-from vintage.plans import feed_run
+from vintage.plans import feed_run, models
 from vintage.plans.feed_run import run_feed, run_feeds, score_run
-from vintage.plans.models import MARTS, MODEL_TESTS, STAGING, VIEWS, build_models, refresh_models, relation_name, run_model_tests
+from vintage.plans.models import (
+    MARTS,
+    MODEL_TESTS,
+    STAGING,
+    VIEWS,
+    build_models,
+    latest_fact,
+    refresh_models,
+    relation_name,
+    run_model_tests,
+)
+from vintage.schemas import create_tables
 from vintage.sources.ledger import failure_alerts, only_passed
 from vintage.streaming.ingest import stream_ingest
 
@@ -193,6 +205,68 @@ def test_refresh_equals_full_build(spark, layers, tmp_path):
     assert [t.name for t in spark.catalog.listTables(layers.marts) if "staging" in t.name] == []
 
 
+def test_gated_refresh_equals_gated_build(spark, layers, tmp_path):
+    sentinel = replace(DEATHS, sentinel=None)
+    run_feed(spark, sentinel, land(tmp_path / "1", "lines", backfill()), layers, run_id="run_1")
+    guam = [feed_week("2026-09-05", 4, "Guam"), feed_week(WEEKS[-1], 70)]
+    run_feed(spark, sentinel, land(tmp_path / "2", "lines", guam), layers, run_id="run_2", lookback_days=400)
+    names = build_models(spark, layers)
+    contents = lambda: {m: tuples(spark.table(names[m]), *sorted(spark.table(names[m]).columns)) for m in MARTS}
+    assert [len(v) for v in contents().values()] == [26, 25, 1, 3]
+    with pytest.raises(ValidationFailed):
+        run_feed(spark, sentinel, land(tmp_path / "3", "lines", [feed_week("2026-09-05", -4, "Guam")]), layers, run_id="run_2", lookback_days=400)
+    refresh_models(spark, ["run_2"], layers, gated=True)
+    refreshed = contents()
+    build_models(spark, layers, gated=True)
+    assert refreshed == contents() and [len(v) for v in refreshed.values()] == [24, 24, 0, 2]
+
+
+def test_a_failed_build_keeps_the_marts(spark, layers, tmp_path, monkeypatch):
+    run_feed(spark, replace(DEATHS, sentinel=None), land(tmp_path / "1", "lines", backfill()), layers, run_id="run_1")
+    names = build_models(spark, layers)
+    broken = F.when(F.col("state") == "Ohio", F.raise_error(F.lit("lost"))).otherwise(F.col("state"))
+    for step in ("as_reported", "latest_fact", "revisions", "dimension"):
+        with monkeypatch.context() as patched:
+            whole = getattr(models, step)
+            patched.setattr(models, step, lambda *a, whole=whole: whole(*a).withColumn("state", broken))
+            if step != "revisions":  # no revision, no row to fail on
+                with pytest.raises(Exception, match="lost"):
+                    build_models(spark, layers)
+        assert [spark.table(names[m]).count() for m in MARTS] == [24, 24, 0, 2]
+    assert [t.name for t in spark.catalog.listTables(layers.marts) if "staging" in t.name] == []
+
+
+def test_a_refresh_reads_only_its_periods(spark, layers, tmp_path):
+    run_feed(spark, replace(DEATHS, sentinel=None), land(tmp_path / "1", "lines", backfill()), layers, run_id="run_1")
+    reported = spark.table(build_models(spark, layers)["fct_cases_as_reported"])
+    held = latest_fact(reported.where(F.col("snapshot_date").isin([date(2026, 5, 3)])))
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "2026-05-03" in plan
+
+
+def test_alerts_since_the_last_delivery(spark, layers, tmp_path):
+    for name, value in (("run_1", -1), ("run_2", -2)):
+        with pytest.raises(ValidationFailed):
+            run_feed(spark, DEATHS, land(tmp_path / name, "lines", [feed_week("2026-09-05", value)]), layers, run_id=name, lookback_days=9)
+    log = spark.table(layers.run_log)
+    first = log.where("status = 'failure'").agg(F.min("logged_at")).first()[0]
+    assert tuples(failure_alerts(log), "run_id") == [("run_1",), ("run_2",)]
+    assert tuples(failure_alerts(log, first), "run_id") == [("run_2",)]
+
+
+def test_layers_without_a_name_use_the_current_database(spark, layers, tmp_path):
+    before = spark.catalog.currentDatabase()
+    bare = replace(layers, marts=None, observability=None)
+    spark.catalog.setCurrentDatabase(layers.staging)
+    try:
+        create_tables(spark, bare)
+        run_feed(spark, DEATHS, land(tmp_path / "1", "lines", backfill()), bare, run_id="run_1")
+        names = build_models(spark, bare)
+        assert names["dim_state"] == f"{layers.staging}.dim_state" and spark.table(names["dim_state"]).count() == 2
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 def test_schema_names_are_used_as_declared():
     assert relation_name(" marts ", "m", "dev") == "marts.m"
     assert relation_name(None, "m", "dev") == "dev.m"

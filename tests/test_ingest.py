@@ -1,5 +1,5 @@
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import tuples
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vintage.feeds import ACTIVITY, DEATHS
 from vintage.functions.columns import new_run_id, safe_int, surrogate_key, to_period
-from vintage.operators.filters import last_period, newer_than, skip_if_empty
+from vintage.operators.filters import last_period, newer_than
 from vintage.plans.feed_run import ingest
 from vintage.sources.landing import normalize, payload_field, read_landing
 
@@ -112,7 +112,7 @@ def test_mark_watches_the_sentinel(spark):
     assert last_period(df, "United States") == date(2026, 9, 5)
     assert last_period(df, None) == date(2026, 9, 12)
     assert last_period(df, "Alabama") is None
-    assert skip_if_empty(newer_than(df, "snapshot_date", date(2026, 9, 12)))
+    assert newer_than(df, "snapshot_date", date(2026, 9, 12)).isEmpty()
 
 
 def test_surrogate_key(spark):
@@ -131,3 +131,21 @@ def test_modified_after_skips_old_files(spark, tmp_path):
     path = land(tmp_path / "l", "lines", [death()])
     assert read_landing(spark, path, modified_after="2000-01-01T00:00:00").count() == 1
     assert read_landing(spark, path, modified_after="2100-01-01T00:00:00").count() == 0
+
+
+@pytest.mark.parametrize("layout", ["lines", "pages"])
+def test_period_folders_up_to_the_mark_are_not_opened(spark, tmp_path, layout):
+    weeks = [date(2026, 8, 29), date(2026, 9, 5), date(2026, 9, 12)]
+    for week in weeks:
+        land(tmp_path / "l" / f"week={week}", layout, [death(f"{week}T00:00:00.000", state=s) for s in ("Ohio", "Iowa")])
+    path, mark = str(tmp_path / "l"), date(2026, 9, 5)
+    for back in (0, 3, 10):
+        after = mark - timedelta(days=back)
+        pruned = read_landing(spark, path, layout, period_dir="week", after=after)
+        flat = read_landing(spark, path, layout)
+        got, plain = (tuples(ingest(r, DEATHS, mark, "r", STAMP, back).drop("raw_payload")) for r in (pruned, flat))
+        assert got == plain and len(got) == 2 * sum(w > after for w in weeks)
+    (tmp_path / "l" / "week=2026-08-29" / "torn.json").write_text('{"state": ')
+    assert read_landing(spark, path, layout, period_dir="week", after=mark).count() == 2
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_landing(spark, path, layout, period_dir="week").collect()

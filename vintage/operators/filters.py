@@ -26,11 +26,6 @@ def other_runs(df: DataFrame, run_id: str) -> DataFrame:
     return df.where(F.col("run_id") != F.lit(run_id))
 
 
-def skip_if_empty(df: DataFrame) -> bool:
-    """True when there is nothing to do; stops at the first row found."""
-    return df.isEmpty()
-
-
 def high_water_mark(df: DataFrame, sentinel: str | None, period: str = "snapshot_date", state: str = "state") -> DataFrame:
     """One row: the newest period of the sentinel state (of all states without a sentinel)."""
     rows = df if sentinel is None else df.where(F.col(state) == F.lit(sentinel))

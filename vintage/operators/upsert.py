@@ -74,24 +74,17 @@ def overwrite(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
-_CARRIED = (
-    "spark.sql.shuffle.partitions",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-    "spark.sql.autoBroadcastJoinThreshold",
-)
-
-
 def writer_session(spark: SparkSession) -> SparkSession:
     """A session on the same catalog in which an overwrite replaces only the partitions written.
 
     The mode is a session setting. In a session of its own, two loads on parallel threads cannot
-    switch it off for each other.
+    switch it off for each other. The caller's other settings and current database are carried over.
     """
     session = spark.newSession()
-    for key in _CARRIED:
-        value = spark.conf.get(key, None)
-        if value is not None:
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             session.conf.set(key, value)
+    session.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
     # Without adaptive execution, rebalancing would put a whole partition into one task.
     session.conf.set("spark.sql.adaptive.enabled", "true")
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -110,8 +103,11 @@ def upsert_table(spark: SparkSession, table: str, source_table: str, keys: tuple
     target = session.table(table).where(F.col(partition).isin(touched))
     rows = source.select(*target.columns)
     # A new run, the normal case, has nothing stored yet: no partition to read, nothing to match.
-    if not target.isEmpty():
+    within = tuple(k for k in keys if k != partition)
+    if target.isEmpty() and len(touched) == 1:
+        # Written as the scan packs the staged files, about the size of a split each: no shuffle.
+        overwrite(rows.sortWithinPartitions(*within), table)
+    else:
         check_matches(target, source, keys)
-        rows = merge_rows(target, rows, keys)
-    replace_partitions(rows, table, partition, tuple(k for k in keys if k != partition))
+        replace_partitions(merge_rows(target, rows, keys), table, partition, within)
     spark.catalog.refreshTable(table)

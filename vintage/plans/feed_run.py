@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -105,15 +105,20 @@ def run_feed(
     now: datetime | str | None = None,
     lookback_days: int = 0,
     modified_after: str | None = None,
+    period_dir: str | None = None,
 ) -> dict:
     """Load what is newer than the high-water mark, validate it, then flag its outliers.
 
+    Where the landing folder has a folder per period, named by ``period_dir``, those up to the mark (less
+    ``lookback_days``) are not opened; the rows are the same.
+
     Runs that an interruption left unvalidated or unscored are caught up on. Repeating a run under
     the same ``run_id`` replaces its rows. The result maps run ids to row counts and flag counts.
     """
     run_id = run_id or new_run_id()
     mark = last_period(spark.table(layers.raw_table(feed)), feed.sentinel)
-    records = read_landing(spark, landing, layout, modified_after)
+    after = mark and mark - timedelta(days=lookback_days)
+    records = read_landing(spark, landing, layout, modified_after, period_dir, after)
     load = load_batch(spark, feed, ingest(records, feed, mark, run_id, now, lookback_days), run_id, layers)
     log = spark.table(layers.run_log)
     checked, failed = {}, []

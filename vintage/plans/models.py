@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.feeds import ACTIVITY, ACTIVITY_LEVELS, DEATHS, Feed
 from vintage.functions.columns import surrogate_key, utc_now
 from vintage.operators.rules import accepted_failures, null_failures, unique_failures
-from vintage.operators.upsert import replace_partitions, writer_session
+from vintage.operators.upsert import overwrite, writer_session
 from vintage.operators.versions import latest, revision_history
 from vintage.schemas import PERIOD_KEYS, VERSION, Layers
-from vintage.sources.ledger import only_passed
+from vintage.sources.ledger import only_passed, passed_runs
 
 STALE_DAYS = 14
 
@@ -96,25 +98,92 @@ def relation_name(schema: str | None, model: str, default: str) -> str:
     return f"{(schema or default).strip()}.{model}"
 
 
-def model_names(layers: Layers) -> dict[str, str]:
-    """Model name to relation name."""
-    names = {m: relation_name(layers.staging, m, "default") for m in STAGING}
-    names |= {m: relation_name(layers.marts, m, "default") for m in MARTS}
-    return names | {m: relation_name(layers.observability, m, "default") for m in VIEWS}
+def model_names(layers: Layers, default: str = "default") -> dict[str, str]:
+    """Model name to relation name; a layer without a name lies in the database ``default``."""
+    names = {m: relation_name(layers.staging, m, default) for m in STAGING}
+    names |= {m: relation_name(layers.marts, m, default) for m in MARTS}
+    return names | {m: relation_name(layers.observability, m, default) for m in VIEWS}
 
 
-def _write(df: DataFrame, name: str, partition: str | None = None, rebalance: bool = False) -> DataFrame:
-    if rebalance:
-        # One file per period, or several of the advisory size, instead of one per task and period.
-        df = df.hint("rebalance", partition)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).saveAsTable(name)
-    return df.sparkSession.table(name)
+def _names(spark: SparkSession, layers: Layers) -> dict[str, str]:
+    return model_names(layers, spark.catalog.currentDatabase())
+
+
+#: Partitions of the as-reported fact: a period is read on its own, a run is replaced on its own.
+REPORTED_BY = ("snapshot_date", "run_id")
+_PERIOD = ("snapshot_date",)
+
+
+def _ensure(df: DataFrame, table: str, by: tuple[str, ...] = ()) -> None:
+    """An empty table for ``df``, unless there is one with the same columns and partitions."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        stored = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        if stored == list(by) and dict(spark.table(table).dtypes) == dict(df.dtypes):
+            return
+    writer = df.limit(0).write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).saveAsTable(table)
+
+
+def _publish(df: DataFrame, table: str, by: tuple[str, ...], filled: DataFrame, scope: Column | None = None) -> None:
+    """Make ``df`` the contents of ``table``, or of its partitions within ``scope``.
+
+    ``filled`` (columns ``by``) holds the partition values that ``df`` has rows for. New files appear when
+    their job commits, and partitions left without rows are dropped after that, so a failed job leaves the
+    table as it was. ``df`` must come from a ``writer_session``.
+    """
+    session = df.sparkSession
+    stored = session.table(table)
+    stored = stored if scope is None else stored.where(scope)
+    # Normally none: partitions of periods or runs that no longer count.
+    emptied = stored.select(*by).subtract(filled).collect()
+    overwrite(df, table)
+    if emptied:
+        spec = lambda i: ", ".join(f"{c} = :{c}_{i}" for c in by)
+        parts = ", ".join(f"PARTITION ({spec(i)})" for i in range(len(emptied)))
+        values = {f"{c}_{i}": row[c] for i, row in enumerate(emptied) for c in by}
+        session.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}", args=values)
+
+
+def _by_period(df: DataFrame) -> DataFrame:
+    """One file per period, or several of the advisory size, instead of one per task and period."""
+    return df.hint("rebalance", *_PERIOD).sortWithinPartitions(*PERIOD_KEYS)
+
+
+def _publish_reported(deaths: DataFrame, table: str, scope: Column | None = None) -> None:
+    # Files of raw are sorted by period, so a task has few of them and no shuffle is needed.
+    facts = as_reported(deaths).sortWithinPartitions(*REPORTED_BY, "state")
+    _publish(facts, table, REPORTED_BY, deaths.select(*REPORTED_BY).distinct(), scope)
+
+
+def _publish_modelled(reported: DataFrame, names: dict[str, str], scope: Column | None = None) -> None:
+    """The facts that are modelled from the as-reported one, for the periods that ``reported`` is cut to."""
+    periods = reported.select(*_PERIOD).distinct()
+    _publish(_by_period(latest_fact(reported)), names["fct_cases_latest"], _PERIOD, periods, scope)
+    with _staged(revisions(reported, DEATHS.metric), names["fct_revision_history"]) as found:
+        _publish(_by_period(found), names["fct_revision_history"], _PERIOD, found.select(*_PERIOD).distinct(), scope)
+
+
+def _publish_dimension(deaths: DataFrame, activity: DataFrame, table: str) -> None:
+    # Without partitions an overwrite empties the table first; the job after that only copies a few rows.
+    with _staged(dimension([deaths, activity], "state", "state_key"), table) as found:
+        overwrite(found, table)
+
+
+@contextmanager
+def _staged(df: DataFrame, table: str) -> Iterator[DataFrame]:
+    """``df`` as a table beside ``table`` while the block runs."""
+    staging = f"{table}_staging_{utc_now():%Y%m%d%H%M%S%f}"
+    try:
+        df.write.saveAsTable(staging)
+        yield df.sparkSession.table(staging)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {staging}")
 
 
 def create_views(spark: SparkSession, layers: Layers = Layers()) -> None:
     """The staging views over raw and the observability views over marts and log."""
-    names = model_names(layers)
+    names = _names(spark, layers)
     for model, feed in STAGING.items():
         spark.sql(
             f"CREATE OR REPLACE VIEW {names[model]} AS "
@@ -133,64 +202,82 @@ def create_views(spark: SparkSession, layers: Layers = Layers()) -> None:
 
 
 def _staging(spark: SparkSession, layers: Layers, gated: bool) -> list[DataFrame]:
-    tables = [spark.table(model_names(layers)[m]) for m in STAGING]
+    tables = [spark.table(_names(spark, layers)[m]) for m in STAGING]
     return [only_passed(t, spark.table(layers.run_log)) for t in tables] if gated else tables
 
 
 def build_models(spark: SparkSession, layers: Layers = Layers(), gated: bool = False) -> dict[str, str]:
     """Build every model in dependency order; returns model name to relation name.
 
-    The as-reported fact is written because two models read it; it keeps the runs of raw as its
-    partitions and so needs no shuffle. The other facts are partitioned by period, which is what
-    ``refresh_models`` replaces. ``gated`` leaves out runs that did not pass validation; the
+    The as-reported fact is written because two models read it, without a shuffle. The other facts
+    are partitioned by period, which is what ``refresh_models`` replaces. A build that fails leaves
+    the mart at hand as it was. ``gated`` leaves out runs that did not pass validation; the
     default, like the views, takes every run.
     """
-    names = model_names(layers)
+    names = _names(spark, layers)
     create_views(spark, layers)
-    deaths, activity = _staging(spark, layers, gated)
-    reported = _write(as_reported(deaths), names["fct_cases_as_reported"], "run_id")
-    _write(latest_fact(reported), names["fct_cases_latest"], "snapshot_date", rebalance=True)
-    _write(revisions(reported, DEATHS.metric), names["fct_revision_history"], "snapshot_date", rebalance=True)
-    _write(dimension([deaths, activity], "state", "state_key"), names["dim_state"])
+    session = writer_session(spark)
+    deaths, activity = _staging(session, layers, gated)
+    table = names["fct_cases_as_reported"]
+    with _refreshed(spark, names):
+        _ensure(as_reported(deaths), table, REPORTED_BY)
+        _publish_reported(deaths, table)
+        reported = session.table(table)
+        _ensure(latest_fact(reported), names["fct_cases_latest"], _PERIOD)
+        _ensure(revisions(reported, DEATHS.metric), names["fct_revision_history"], _PERIOD)
+        _publish_modelled(reported, names)
+        _ensure(dimension([deaths, activity], "state", "state_key"), names["dim_state"])
+        _publish_dimension(deaths, activity, names["dim_state"])
     create_views(spark, layers)
     return names
 
 
 def refresh_models(spark: SparkSession, runs: list[str], layers: Layers = Layers(), gated: bool = False) -> dict[str, str]:
-    """Bring built models up to date after ``runs`` were loaded; the result equals a full build.
+    """Bring built models up to date after ``runs`` were loaded or judged; the result equals a full build.
 
-    Only the partitions of those runs are copied, and only the periods they report are modelled
-    again, so the cost follows the new data instead of the whole history.
+    Only the partitions of those runs are copied, and only the periods they report, or reported when
+    they were modelled last, are modelled again: the cost follows the new data, not the history. The
+    dimension alone is made anew where a run may have lost rows.
     """
-    names = model_names(layers)
+    names = _names(spark, layers)
     session = writer_session(spark)
-    deaths, activity = (t.where(F.col("run_id").isin(runs)) for t in _staging(session, layers, gated))
-    replace_partitions(as_reported(deaths), names["fct_cases_as_reported"], "run_id", PERIOD_KEYS)
-    # As many values as the runs report periods.
-    periods = [row[0] for row in deaths.select("snapshot_date").distinct().collect()]
-    reported = session.table(names["fct_cases_as_reported"]).where(F.col("snapshot_date").isin(periods))
-    replace_partitions(latest_fact(reported), names["fct_cases_latest"], "snapshot_date", ("state",))
-    _replace_periods(spark, revisions(reported, DEATHS.metric), names["fct_revision_history"], periods)
-    known = session.table(names["dim_state"])
-    added = dimension([deaths, activity], "state", "state_key").join(known.select("state"), "state", "left_anti")
-    added.select(*known.columns).write.insertInto(names["dim_state"])
-    for model in MARTS:
-        spark.catalog.refreshTable(names[model])
+    table, mine = names["fct_cases_as_reported"], F.col("run_id").isin(runs)
+    staging = _staging(session, layers, gated)
+    deaths, activity = (t.where(mine) for t in staging)
+    before = session.table(table).where(mine).select(*_PERIOD)
+    shrinks = not before.isEmpty() or _may_shrink(session, runs, layers, gated)
+    # As many values as the runs have periods.
+    periods = [row[0] for row in deaths.select(*_PERIOD).union(before).distinct().collect()]
+    held = F.col("snapshot_date").isin([p for p in periods if p is not None])
+    held = held | F.col("snapshot_date").isNull() if None in periods else held
+    with _refreshed(spark, names):
+        _publish_reported(deaths, table, mine)
+        _publish_modelled(session.table(table).where(held), names, held)
+        if shrinks:
+            _publish_dimension(*staging, names["dim_state"])
+        else:
+            known = session.table(names["dim_state"])
+            added = dimension([deaths, activity], "state", "state_key").join(known.select("state"), "state", "left_anti")
+            added.select(*known.columns).write.insertInto(names["dim_state"])
     return names
 
 
-def _replace_periods(spark: SparkSession, df: DataFrame, table: str, periods: list[date]) -> None:
-    """Replace the partitions of ``periods``, also those that ``df`` has no rows for any more."""
-    staging = f"{table}_staging_{utc_now():%Y%m%d%H%M%S%f}"
-    df.write.saveAsTable(staging)
+@contextmanager
+def _refreshed(spark: SparkSession, names: dict[str, str]) -> Iterator[None]:
+    """The caller's session sees the marts as they are after the block, also after one that fails."""
     try:
-        staged = df.sparkSession.table(staging)
-        replace_partitions(staged, table, "snapshot_date", ("state",))
-        filled = {row[0] for row in staged.select("snapshot_date").distinct().collect()}
-        for day in sorted(set(periods) - filled):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (snapshot_date = DATE'{day}')")
+        yield
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        for model in MARTS:
+            if spark.catalog.tableExists(names[model]):
+                spark.catalog.refreshTable(names[model])
+
+
+def _may_shrink(spark: SparkSession, runs: list[str], layers: Layers, gated: bool) -> bool:
+    """Whether one of ``runs`` was loaded again or does not count, and so may have lost rows."""
+    log = spark.table(layers.run_log).where(F.col("run_id").isin(runs))
+    loads = log.where("stage = 'load' AND status = 'success'").groupBy("run_id").count()
+    return not loads.where("count > 1").isEmpty() or (gated and passed_runs(log).count() < len(set(runs)))
 
 
 # --- fixed values: the column tests of the models (model, column, test, accepted values) ---

@@ -29,32 +29,39 @@ FLAGS_DDL = (
 )
 
 
+def _within(database: str | None, table: str) -> str:
+    return f"{database}.{table}" if database else table
+
+
 @dataclass(frozen=True)
 class Layers:
-    """Database name of each layer. Names are used as given, never prefixed by the session's."""
+    """Database name of each layer. Names are used as given, never prefixed by the session's.
+
+    A layer without a name (None) lies in the session's current database.
+    """
 
-    raw: str = "raw"
-    staging: str = "staging"
-    marts: str = "marts"
-    observability: str = "observability"
+    raw: str | None = "raw"
+    staging: str | None = "staging"
+    marts: str | None = "marts"
+    observability: str | None = "observability"
 
     @classmethod
     def prefixed(cls, prefix: str) -> Layers:
         return cls(*(prefix + layer for layer in ("raw", "staging", "marts", "observability")))
 
     def databases(self) -> tuple[str, ...]:
-        return self.raw, self.staging, self.marts, self.observability
+        return tuple(db for db in (self.raw, self.staging, self.marts, self.observability) if db)
 
     def raw_table(self, feed: Feed) -> str:
-        return f"{self.raw}.{feed.table}"
+        return _within(self.raw, feed.table)
 
     @property
     def run_log(self) -> str:
-        return f"{self.observability}.{RUN_LOG}"
+        return _within(self.observability, RUN_LOG)
 
     @property
     def flags(self) -> str:
-        return f"{self.observability}.{FLAGS}"
+        return _within(self.observability, FLAGS)
 
 
 #: Columns of a raw table that no row may leave empty.
@@ -73,7 +80,8 @@ def create_tables(spark: SparkSession, layers: Layers = Layers(), location: str
     """Create databases and tables that do not exist yet.
 
     All are partitioned by run: a run is what a load replaces, what validation reads and what
-    detection excludes, and writers of different runs do not get in each other's way.
+    detection excludes, and writers of different runs do not get in each other's way. The log is
+    partitioned by pipeline first, which is how it is read.
     """
     for db in layers.databases():
         where = f" LOCATION '{location}/{db}'" if location else ""
@@ -83,5 +91,5 @@ def create_tables(spark: SparkSession, layers: Layers = Layers(), location: str
             f"CREATE TABLE IF NOT EXISTS {layers.raw_table(feed)} ({raw_ddl(feed)}) "
             "USING parquet PARTITIONED BY (run_id)"
         )
-    for table, ddl in ((layers.run_log, RUN_LOG_DDL), (layers.flags, FLAGS_DDL)):
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet PARTITIONED BY (run_id)")
+    for table, ddl, by in ((layers.run_log, RUN_LOG_DDL, "pipeline_name, run_id"), (layers.flags, FLAGS_DDL, "run_id")):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet PARTITIONED BY ({by})")

@@ -6,7 +6,7 @@ Files are the parallel unit. Two layouts: ``lines`` (one object per line, splitt
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +31,28 @@ def parse_records(text: DataFrame, layout: str = "lines") -> DataFrame:
     return text.select(F.explode(page).alias("raw_payload"))
 
 
-def read_landing(spark: SparkSession, path: str, layout: str = "lines", modified_after: str | None = None) -> DataFrame:
-    """Records of all files under ``path``; with ``modified_after`` older files are not opened."""
-    reader = spark.read.option("wholetext", _check(layout)).option("recursiveFileLookup", True)
+def read_landing(
+    spark: SparkSession,
+    path: str,
+    layout: str = "lines",
+    modified_after: str | None = None,
+    period_dir: str | None = None,
+    after: date | None = None,
+) -> DataFrame:
+    """Records of all files under ``path``; with ``modified_after`` older files are not opened.
+
+    With ``period_dir`` files lie in folders ``<period_dir>=YYYY-MM-DD`` that hold records of this period
+    alone, and folders up to ``after`` are not opened. Files of a folder without a period are always read.
+    """
+    reader = spark.read.option("wholetext", _check(layout))
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    return parse_records(reader.text(path), layout)
+    if period_dir is None:
+        return parse_records(reader.option("recursiveFileLookup", True).text(path), layout)
+    files = reader.schema(f"value string, `{period_dir}` date").text(path)
+    if after is not None:
+        files = files.where(F.col(period_dir).isNull() | (F.col(period_dir) > F.lit(after)))
+    return parse_records(files.select("value"), layout)
 
 
 def stream_landing(spark: SparkSession, path: str, layout: str = "lines", max_files: int | None = None) -> DataFrame:

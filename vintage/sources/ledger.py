@@ -45,14 +45,15 @@ def with_log_id(rows: DataFrame) -> DataFrame:
     return rows.select(log_id.alias("log_id"), "*")
 
 
-def append_log(row: DataFrame, run_id: str, layers: Layers) -> None:
+def append_log(row: DataFrame, run_id: str, pipeline: str, layers: Layers) -> None:
     """Add a row to the log of one run; ``row`` must come from a ``writer_session``.
 
     The run's partition is written anew with the row added. A plain append would share its working
-    folder with the appends of other runs, and whichever finished first would remove it.
+    folder with the appends of other runs, and whichever finished first would remove it. Pipelines
+    are partitions too, so a feed that looks for its own runs opens no file another feed may replace.
     """
     session = row.sparkSession
-    before = for_run(session.table(layers.run_log), run_id)
+    before = for_run(session.table(layers.run_log), run_id).where(F.col("pipeline_name") == F.lit(pipeline))
     overwrite(before.unionByName(row).coalesce(1), layers.run_log)
 
 
@@ -76,7 +77,7 @@ def logged_stage(spark: SparkSession, layers: Layers, run_id: str, pipeline: str
             row = run_log_row(
                 session, run_id, pipeline, stage, status, **counts, duration_ms=duration_ms, error_message=error
             )
-            append_log(row, run_id, layers)
+            append_log(row, run_id, pipeline, layers)
             spark.catalog.refreshTable(layers.run_log)
 
 
@@ -107,10 +108,16 @@ ALERT_LINES = (
 )
 
 
-def failure_alerts(log: DataFrame) -> DataFrame:
-    """The alert queue: one message per failed stage, ready for whatever delivers it."""
+def failure_alerts(log: DataFrame, since: datetime | str | None = None) -> DataFrame:
+    """The alert queue: one message per failed stage, ready for whatever delivers it.
+
+    ``since``, the time of the last delivery, leaves out what was logged up to it.
+    """
     lines = [F.concat(F.lit(label), F.coalesce(F.col(c), F.lit(""))) for label, c in ALERT_LINES]
-    return log.where(F.col("status") == "failure").select(
+    failed = log.where(F.col("status") == "failure")
+    if since is not None:
+        failed = failed.where(F.col("logged_at") > ntz(since))
+    return failed.select(
         "run_id", "pipeline_name", "stage", F.concat_ws("\n", F.lit(ALERT_TITLE), *lines).alias("text")
     )
 
