@@ -4,8 +4,22 @@ import pytest
 from conftest import plan, tuples
 from pyspark.sql import functions as F
 
+from vintage.feeds import DEATHS
+from vintage.functions.columns import ntz
 from vintage.operators import anomaly
-from vintage.operators.anomaly import anomalies, anomaly_flags, current_run, group_stats, history, z_scores
+from vintage.operators.anomaly import (
+    anomalies,
+    anomaly_flags,
+    current_run,
+    group_stats,
+    history,
+    merged_stats,
+    run_stats,
+    z_scores,
+)
+from vintage.operators.upsert import writer_session
+from vintage.sources.load import load_batch
+from vintage.sources.statistics import forget_runs, history_stats
 
 SCHEMA = "run_id string, snapshot_date date, state string, covid_19_deaths bigint"
 DAY = date(2026, 9, 1)
@@ -88,3 +102,38 @@ def test_hot_state_matches_direct_computation(spark, hot_rows, monkeypatch):
     want = cur[(cur["count"] >= 8) & (z.abs() > 3)]
     assert len(got) == len(want) > 0
     assert sorted(got.z_score) == pytest.approx(sorted(z[want.index]))
+
+
+def test_merged_statistics_equal_those_of_all_rows(spark):
+    rows = spark.range(400).selectExpr(
+        "concat('run ', id % 7, '+%/=') AS run_id", "if(id % 11 = 0, null, concat('s', id % 3)) AS state",
+        "case when id % 13 = 0 then double('NaN') when id % 17 = 0 then null else 1e9 + (id * id) % 97 / 8.0 end AS v",
+        "0.1D AS flat")
+    want = {r["state"]: r for r in group_stats(rows, "state", "v").collect()}
+    got = {r["state"]: r for r in merged_stats(run_stats(rows, "state", "v"), "state").collect()}
+    assert got.keys() == want.keys()
+    for state, r in got.items():
+        assert r["n"] == want[state]["n"]
+        assert r["mean"] == pytest.approx(want[state]["mean"], rel=1e-12) and r["std"] == pytest.approx(want[state]["std"], rel=1e-6)
+    assert {r["std"] for r in merged_stats(run_stats(rows, "state", "flat"), "state").collect()} == {0.0}
+
+
+def test_a_score_reads_statistics_and_only_runs_without_them(spark, layers):
+    def load(run, *values):
+        rows = spark.createDataFrame([(run, date(2026, 1, 1 + i), "Ohio", v) for i, v in enumerate(values)], "run_id string, snapshot_date date, state string, covid_19_deaths long")
+        others = [F.lit(None).cast(t).alias(c) for c, t in spark.table(layers.raw_table(DEATHS)).dtypes if c not in (*rows.columns, "ingested_at")]
+        load_batch(spark, DEATHS, rows.select("*", ntz("2026-09-08T06:00:00+00:00").alias("ingested_at"), *others), run, layers)
+
+    past = lambda run="now": history_stats(writer_session(spark), DEATHS, run, layers)
+    stats = lambda: tuples(past(), "state", "n", "mean")
+    load("run +1/%", *range(1, 11))
+    load("run_2", 21, 22)
+    assert stats() == [("Ohio", 12, pytest.approx(98 / 12))]
+    # Loaded again, a run replaces its statistics; without any, its rows are read.
+    load("run_2", 31, 32)
+    assert stats() == [("Ohio", 12, pytest.approx(118 / 12))]
+    assert layers.raw not in plan(past())
+    forget_runs(spark, DEATHS, ["run +1/%"], layers)
+    assert layers.raw in plan(past())
+    assert stats() == [("Ohio", 12, pytest.approx(118 / 12))]
+    assert tuples(past("run_2"), "n", "mean") == [(10, 5.5)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintage.functions.columns import (
@@ -44,6 +44,33 @@ def group_stats(past: DataFrame, by: str, metric: str) -> DataFrame:
     )
 
 
+def run_stats(rows: DataFrame, by: str, metric: str) -> DataFrame:
+    """Per run and group what ``merged_stats`` needs: count, mean, squared deviations, extremes."""
+    known = nan_as_null(rows, metric).where(F.col(by).isNotNull() & F.col(metric).isNotNull())
+    return known.groupBy("run_id", by).agg(
+        F.count(metric).alias("n"),
+        F.avg(metric).alias("mean"),
+        (F.var_pop(metric) * F.count(metric)).alias("squares"),
+        F.min(metric).cast("double").alias("low"),
+        F.max(metric).cast("double").alias("high"),
+    )
+
+
+def merged_stats(parts: DataFrame, by: str) -> DataFrame:
+    """As ``group_stats`` over all the values that ``parts`` (of ``run_stats``) were made of.
+
+    Deviations are taken from the common mean, not from sums of squares that cancel. Equal values have
+    a deviation of exactly 0.
+    """
+    group = Window.partitionBy(by)
+    centre = F.sum(F.col("n") * F.col("mean")).over(group) / F.sum("n").over(group)
+    apart = F.col("squares") + F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2)
+    spread = F.when(F.min("low") == F.max("high"), 0.0).otherwise(F.sqrt(F.sum(apart) / (F.sum("n") - 1)))
+    return parts.withColumn("centre", centre).groupBy(by).agg(
+        F.max("centre").alias("mean"), F.when(F.sum("n") > 1, spread).alias("std"), F.sum("n").alias("n")
+    )
+
+
 def with_group_stats(current: DataFrame, stats: DataFrame, by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Current rows with the statistics of their group; rows of unseen groups drop out."""
     return join_groups(current, stats, (by,), "inner", hot_rows=hot_rows)
@@ -53,10 +80,15 @@ def z_scores(
     current: DataFrame, past: DataFrame, by: str, metric: str, min_points: int = MIN_HISTORY_POINTS
 ) -> DataFrame:
     """Score of every current value that has enough varied history."""
+    return scores(current, group_stats(past, by, metric), by, metric, min_points)
+
+
+def scores(
+    current: DataFrame, stats: DataFrame, by: str, metric: str, min_points: int = MIN_HISTORY_POINTS
+) -> DataFrame:
+    """As ``z_scores``, from the statistics of the history."""
     known = nan_as_null(current, metric).where(F.col(metric).isNotNull() & F.col(by).isNotNull())
-    scored = with_group_stats(known, group_stats(past, by, metric), by).where(
-        scorable("n", "std", min_points)
-    )
+    scored = with_group_stats(known, stats, by).where(scorable("n", "std", min_points))
     return scored.withColumn("z_score", z_score(metric, "mean", "std"))
 
 
@@ -71,10 +103,16 @@ def anomalies(
     period: str = "snapshot_date",
 ) -> DataFrame:
     """Current values more than ``threshold`` deviations from the mean, with the expected range."""
+    return outliers(z_scores(current, past, by, metric, min_points), by, metric, source, threshold, period)
+
+
+def outliers(
+    scored: DataFrame, by: str, metric: str, source: str, threshold: float = Z_THRESHOLD, period: str = "snapshot_date"
+) -> DataFrame:
+    """Scored values beyond ``threshold``."""
     reach = F.lit(threshold) * F.col("std")
     return (
-        z_scores(current, past, by, metric, min_points)
-        .where(is_outlier("z_score", threshold))
+        scored.where(is_outlier("z_score", threshold))
         .select(
             "run_id",
             F.lit(source).alias("source"),

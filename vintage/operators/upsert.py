@@ -91,15 +91,26 @@ def writer_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def upsert_table(spark: SparkSession, table: str, source_table: str, keys: tuple[str, ...] = KEYS, partition: str = "run_id") -> None:
+def partition_values(source: DataFrame, partition: str = "run_id") -> list[str]:
+    """As many values as a batch has partitions, normally one."""
+    return [row[0] for row in source.select(partition).distinct().collect()]
+
+
+def upsert_table(
+    spark: SparkSession,
+    table: str,
+    source_table: str,
+    keys: tuple[str, ...] = KEYS,
+    partition: str = "run_id",
+    touched: list[str] | None = None,
+) -> None:
     """Upsert the rows of ``source_table`` into ``table``, which is partitioned by a key column.
 
     A batch only matches rows of its own partitions, so only those are read and rewritten.
     """
     session = writer_session(spark)
     source = session.table(source_table)
-    # As many values as the batch has partitions, normally one.
-    touched = [row[0] for row in source.select(partition).distinct().collect()]
+    touched = partition_values(source, partition) if touched is None else touched
     target = session.table(table).where(F.col(partition).isin(touched))
     rows = source.select(*target.columns)
     # A new run, the normal case, has nothing stored yet: no partition to read, nothing to match.

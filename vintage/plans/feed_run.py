@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vintage.feeds import Feed
 from vintage.functions.columns import new_run_id, utc_now
-from vintage.operators.anomaly import anomalies, anomaly_flags, current_run, history
+from vintage.operators.anomaly import anomaly_flags, current_run, outliers, scores
 from vintage.operators.filters import for_run, last_period, newer_than
 from vintage.operators.rules import ValidationFailed, require_success, sample_violations, validate
 from vintage.operators.upsert import writer_session
@@ -17,6 +17,7 @@ from vintage.schemas import Layers
 from vintage.sources.landing import read_landing, string_fields, typed_rows
 from vintage.sources.ledger import logged_stage, pending_runs, write_anomaly_flags
 from vintage.sources.load import load_batch
+from vintage.sources.statistics import history_stats
 
 
 def ingest(
@@ -66,13 +67,9 @@ def detect_anomalies(
     """Score one run against all others and write its flags; returns their number."""
     session = writer_session(spark)
     raw = session.table(layers.raw_table(feed))
-    found = anomalies(
-        current_run(raw, run_id, "state", feed.metric),
-        history(raw, run_id, "state", feed.metric),
-        "state",
-        feed.metric,
-        feed.source,
-    )
+    current = current_run(raw, run_id, "state", feed.metric)
+    stats = history_stats(session, feed, run_id, layers)
+    found = outliers(scores(current, stats, "state", feed.metric), "state", feed.metric, feed.source)
     count = write_anomaly_flags(anomaly_flags(found, flagged_at or utc_now()), run_id, layers)
     spark.catalog.refreshTable(layers.flags)
     return count

@@ -28,6 +28,12 @@ FLAGS_DDL = (
     "expected_range_high double, z_score double, flagged_at timestamp_ntz"
 )
 
+STATISTICS = "metric_statistics"
+STATISTICS_DDL = (
+    "source string not null, run_id string not null, state string, n bigint, mean double, "
+    "squares double, low double, high double"
+)
+
 
 def _within(database: str | None, table: str) -> str:
     return f"{database}.{table}" if database else table
@@ -63,6 +69,10 @@ class Layers:
     def flags(self) -> str:
         return _within(self.observability, FLAGS)
 
+    @property
+    def statistics(self) -> str:
+        return _within(self.observability, STATISTICS)
+
 
 #: Columns of a raw table that no row may leave empty.
 REQUIRED = ("run_id", "snapshot_date", "ingested_at")
@@ -91,5 +101,10 @@ def create_tables(spark: SparkSession, layers: Layers = Layers(), location: str
             f"CREATE TABLE IF NOT EXISTS {layers.raw_table(feed)} ({raw_ddl(feed)}) "
             "USING parquet PARTITIONED BY (run_id)"
         )
-    for table, ddl, by in ((layers.run_log, RUN_LOG_DDL, "pipeline_name, run_id"), (layers.flags, FLAGS_DDL, "run_id")):
+    tables = (
+        (layers.run_log, RUN_LOG_DDL, "pipeline_name, run_id"),
+        (layers.flags, FLAGS_DDL, "run_id"),
+        (layers.statistics, STATISTICS_DDL, "source, run_id"),
+    )
+    for table, ddl, by in tables:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet PARTITIONED BY ({by})")

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from vintage.feeds import Feed
 from vintage.functions.columns import utc_now
-from vintage.operators.upsert import upsert_table
+from vintage.operators.upsert import partition_values, upsert_table
 from vintage.schemas import KEYS, REQUIRED, Layers
 from vintage.sources.ledger import logged_stage
+from vintage.sources.statistics import forget_runs, keep_runs
 
 EMPTY_LOAD = {"row_count_in": 0, "row_count_out": 0, "status": "success"}
 
@@ -39,7 +40,12 @@ def load_batch(spark: SparkSession, feed: Feed, batch: DataFrame, run_id: str, l
         with logged_stage(spark, layers, run_id, feed.pipeline, "load") as counts:
             counts["row_count_in"] = rows
             _require(spark.table(staging), REQUIRED)
-            upsert_table(spark, layers.raw_table(feed), staging, KEYS)
+            runs = partition_values(spark.table(staging))
+            if feed.metric:
+                forget_runs(spark, feed, runs, layers)
+            upsert_table(spark, layers.raw_table(feed), staging, KEYS, touched=runs)
+            if feed.metric:
+                keep_runs(spark, feed, runs, layers)
             counts["row_count_out"] = rows
         return {"row_count_in": rows, "row_count_out": rows, "status": "success"}
     finally:
