@@ -43,7 +43,7 @@ def load_batch(spark: SparkSession, feed: Feed, batch: DataFrame, run_id: str, l
             runs = partition_values(spark.table(staging))
             if feed.metric:
                 forget_runs(spark, feed, runs, layers)
-            upsert_table(spark, layers.raw_table(feed), staging, KEYS, touched=runs)
+            upsert_table(spark, layers.raw_table(feed), staging, KEYS, "run_id", runs)
             if feed.metric:
                 keep_runs(spark, feed, runs, layers)
             counts["row_count_out"] = rows
