@@ -410,6 +410,56 @@ def test_nearest_of_odd_vectors(spark):
     assert found[300] == list(range(20))
 
 
+def neighbours_by_query(df, **options):
+    found = defaultdict(list)
+    for r in ann.neighbours(df, F.col("vec_id") % 20 == 0, **options).orderBy("rank").collect():
+        found[r["query_id"]].append((r["vec_id"], r["score"]))
+    return found
+
+
+def true_neighbours(x, q, k=20):
+    scores = x @ x[q]
+    return [(i, scores[i]) for i in np.lexsort((np.arange(len(x)), -scores)).tolist() if i != q][:k]
+
+
+@pytest.mark.parametrize("n", [5, 15, 21, 40])
+def test_nearest_of_small_tables_are_all(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 64)).astype(np.float32).astype(float)
+    df = vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    for options in ({}, {"exact": 0}):
+        found = neighbours_by_query(df, **options)
+        assert set(found) == set(range(0, n, 20))
+        for q, near in found.items():
+            if n <= 21 or not options:
+                assert [v for v, _ in near] == [v for v, _ in true_neighbours(x, q)]
+            assert len(near) == min(20, n - 1)
+
+
+def test_nearest_completes_a_query_far_from_the_others(spark):
+    rng = np.random.default_rng(3)
+    axis = np.eye(64)[0]
+    x = np.vstack([axis, -axis + rng.normal(size=(300, 64)) * 0.01]).astype(np.float32).astype(float)
+    found = neighbours_by_query(vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)]), exact=0)
+    assert [v for v, _ in found[0]] == [v for v, _ in true_neighbours(x, 0)]
+
+
+@pytest.mark.parametrize("scale", ["log-normal", 2, 100])
+def test_nearest_recall_of_mixed_norms(spark, scale):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    x = np.unique(np.array([r["embedding"] for r in rows], float), axis=0)
+    x = x[np.random.default_rng(5).permutation(len(x))]
+    if scale == "log-normal":
+        x *= np.exp(np.random.default_rng(4).normal(size=(len(x), 1)) * 0.5)
+    else:
+        x[7] *= scale
+    df = vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int, rep string, vector int")
+    for options, least in (({}, 0.999), ({"exact": 100}, 0.95)):
+        found = neighbours_by_query(df, **options)
+        assert set(found) == set(range(0, len(x), 20)) and all(len(near) == 20 for near in found.values())
+        hits = sum(len({v for v, _ in near} & {v for v, _ in true_neighbours(x, q)}) for q, near in found.items())
+        assert hits / (20 * len(found)) >= least
+
+
 # --- 10 languages ---
 
 

@@ -1,10 +1,16 @@
 """Approximate nearest neighbours by inner product with cross-polytope hashing.
 
-Inner products become angles by one more coordinate, sqrt(M^2 - |x|^2) for stored vectors (M: the
-largest norm) and 0 for queries. Each table has its own pseudo-rotation, three rounds of random signs
-and a fast Hadamard transform, and hashes a vector to the signed axis nearest to it. A query probes in
-every table the axes nearest to it, and what is found there is ranked by exact inner products of the
-original vectors in double precision.
+Vectors are put in bands of nearly equal norm. Inner products become angles by one more coordinate,
+sqrt(M^2 - |x|^2) for stored vectors (M: the largest norm of their band) and 0 for queries. Each table has its
+own pseudo-rotation, three rounds of random signs and a fast Hadamard transform, and hashes a vector to the
+signed axis nearest to it. A query probes in every table the axes nearest to it. These do not depend on M,
+so all bands share the buckets and all are probed.
+
+Bands of up to ``EXACT`` vectors are not hashed but compared with every query: their few vectors may all matter,
+whatever their angles. A query that has found fewer than k neighbours although there are more is compared with
+all vectors.
+
+What is found is ranked by exact inner products of the original vectors in double precision, equal ones by id.
 
 Equal vectors are combined first: of their ids only the k + 1 smallest can be among k neighbours, and a
 query vector is searched once for all its ids. Vectors of a bucket are kept in blocks of bounded size,
@@ -19,6 +25,7 @@ candidates give fewer rows; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +41,11 @@ TABLES = 12
 PROBES = 20
 SEED = 7
 BLOCK = 512
+#: Bands of norms an octave, and up to how many vectors a band is compared as a whole.
+BANDS = 4
+EXACT = 2048
+#: Products that are summed at a time.
+STEP = 1 << 15
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -64,19 +76,20 @@ def axes(vectors: np.ndarray, extra: np.ndarray, tables: int, probes: int) -> np
     return result
 
 
-def _hashed(df: DataFrame, probes: int, tables: int, largest: float | None) -> DataFrame:
-    """(rep, vector, t, bucket) for each row of (rep, vector): its axes. ``largest``: the largest norm; None for queries."""
+def _hashed(df: DataFrame, probes: int, tables: int, stored: bool) -> DataFrame:
+    """(rep, first, vector, d, t, bucket) for each row of ``df``: its axes. ``largest`` is the largest norm of a stored vector's band."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for _, same in frame.groupby(frame["vector"].map(len), sort=False):
-                x = np.stack(same["vector"].to_list()).astype(np.float64)
-                extra = np.zeros(len(x)) if largest is None else np.sqrt(np.maximum(largest**2 - (x**2).sum(1), 0))
+            for _, same in frame.groupby("d", sort=False):
+                x = np.stack(same["vector"].to_list()).astype(np.float64) / same["largest"].to_numpy()[:, None]
+                extra = np.sqrt(np.maximum(1 - (x**2).sum(1), 0)) if stored else np.zeros(len(x))
                 found = axes(x, extra, tables, probes)
                 n, k = len(x), found.shape[2]
                 yield pd.DataFrame(
                     {
                         "rep": np.repeat(same["rep"].to_numpy(), tables * k),
+                        "first": np.repeat(same["first"].to_numpy(), tables * k),
                         "vector": np.repeat(np.fromiter((v for v in same["vector"]), object, n), tables * k),
                         "d": np.int32(x.shape[1]),
                         "t": np.tile(np.repeat(np.arange(tables, dtype=np.int32), k), n),
@@ -84,50 +97,102 @@ def _hashed(df: DataFrame, probes: int, tables: int, largest: float | None) -> D
                     }
                 )
 
-    return df.mapInPandas(run, "rep long, vector array<double>, d int, t int, bucket int")
+    rows = df.select("rep", "first", "vector", "d", "largest")
+    return rows.mapInPandas(run, "rep long, first long, vector array<double>, d int, t int, bucket int")
 
 
-def _blocks(hashed: DataFrame, prefix: str) -> DataFrame:
-    """Rows of a bucket in blocks of about BLOCK rows: (d, t, bucket, ids, vectors)."""
-    bucket = ["d", "t", "bucket"]
-    sizes = hashed.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
-    dealt = hashed.join(sizes, bucket).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")))
-    return dealt.groupBy(*bucket, "block").agg(
-        F.collect_list(F.struct("rep", "vector")).alias("rows")
-    ).select(
-        *bucket, F.col("rows.rep").alias(f"{prefix}_ids"), F.flatten(F.col("rows.vector")).alias(f"{prefix}_vectors")
+def _blocks(rows: DataFrame, prefix: str, by: list[str]) -> DataFrame:
+    """Rows alike in ``by`` in blocks of about BLOCK rows: (by, ids, firsts, vectors)."""
+    # Staged, its size is known, so that the rows need not be shuffled to meet it.
+    sizes = stage(rows.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks")))
+    dealt = rows.join(sizes, by).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")))
+    return dealt.groupBy(*by, "block").agg(F.collect_list(F.struct("rep", "first", "vector")).alias("rows")).select(
+        *by,
+        F.col("rows.rep").alias(f"{prefix}_ids"),
+        F.col("rows.first").alias(f"{prefix}_firsts"),
+        F.flatten(F.col("rows.vector")).alias(f"{prefix}_vectors"),
     )
 
 
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The inner product of each row of ``a`` and of ``b``: the sum of products in order."""
+    total = np.zeros(len(a))
+    for i in range(a.shape[1]):
+        total += a[:, i] * b[:, i]
+    return total
+
+
 def _best(k: int):
-    """Per pair of blocks the best ``k`` of each query, as an array of (query, rep, score)."""
-
-    @F.pandas_udf("struct<query: array<long>, rep: array<long>, score: array<double>>")
-    def of(q_ids: pd.Series, q_vectors: pd.Series, c_ids: pd.Series, c_vectors: pd.Series) -> pd.DataFrame:
-        out: dict[str, list] = {"query": [], "rep": [], "score": []}
-        for qi, qv, ci, cv in zip(q_ids, q_vectors, c_ids, c_vectors, strict=True):
-            qi, ci = np.asarray(qi), np.asarray(ci)
-            scores = np.asarray(qv, np.float64).reshape(len(qi), -1) @ np.asarray(cv, np.float64).reshape(len(ci), -1).T
-            if len(ci) > k:  # everything level with the k-th best stays, ties are for the merge
-                kept = scores >= np.partition(scores, -k, axis=1)[:, -k, None] - 1e-9
-                q, c = np.nonzero(kept)
+    """Per pair of blocks the best ``k`` of each query by score and first id, as an array of (query, rep, first, score).
+
+    Matrix products differ from sums in order in the last bits, so they only choose what can be among
+    the best, with slack for all rounding; sums in order settle it.
+    """
+
+    @F.pandas_udf("struct<query: array<long>, rep: array<long>, first: array<long>, score: array<double>>")
+    def of(q_ids: pd.Series, q_vectors: pd.Series, c_ids: pd.Series, c_firsts: pd.Series, c_vectors: pd.Series) -> pd.DataFrame:
+        out: dict[str, list] = {"query": [], "rep": [], "first": [], "score": []}
+        for qi, qv, ci, cf, cv in zip(q_ids, q_vectors, c_ids, c_firsts, c_vectors, strict=True):
+            qi, ci, cf = np.asarray(qi), np.asarray(ci), np.asarray(cf)
+            qv, cv = np.asarray(qv, np.float64).reshape(len(qi), -1), np.asarray(cv, np.float64).reshape(len(ci), -1)
+            if len(ci) > k:
+                rough = qv @ cv.T
+                slack = 8 * qv.shape[1] * np.finfo(float).eps * np.linalg.norm(qv, axis=1) * np.linalg.norm(cv, axis=1).max()
+                q, c = np.nonzero(rough >= np.partition(rough, -k, axis=1)[:, -k, None] - slack[:, None])
             else:
-                q, c = (a.ravel() for a in np.indices(scores.shape))
-            out["query"].append(qi[q])
-            out["rep"].append(ci[c])
-            out["score"].append(scores[q, c])
+                q, c = (a.ravel() for a in np.indices((len(qi), len(ci))))
+            score = np.concatenate([_products(qv[q[i : i + STEP]], cv[c[i : i + STEP]]) for i in range(0, len(q), STEP)])
+            order = np.lexsort((ci[c], cf[c], -score, q))
+            order = order[np.arange(len(q)) - np.searchsorted(q, q) < k]  # q ascends, in any order within it
+            out["query"].append(qi[q[order]])
+            out["rep"].append(ci[c[order]])
+            out["first"].append(cf[c[order]])
+            out["score"].append(score[order])
         return pd.DataFrame(out)
 
     return of
 
 
-def inner_product(a: Column, b: Column) -> Column:
-    """The sum of products in order, in double precision."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+def _scored(pairs: DataFrame, k: int) -> DataFrame:
+    """(query, rep, first, score) of pairs of blocks, the best ``k`` of each."""
+    best = pairs.select(_best(k)("q_ids", "q_vectors", "c_ids", "c_firsts", "c_vectors").alias("best"))
+    return best.select(F.explode(F.arrays_zip("best.query", "best.rep", "best.first", "best.score")).alias("p")).select("p.*")
+
+
+def _all_pairs(asking: DataFrame, stored: DataFrame) -> DataFrame:
+    """All pairs of blocks of one dimension. Not an equi-join, as one dimension would be one task."""
+    left = asking.withColumnRenamed("d", "q_d")
+    return left.crossJoin(stored).filter(F.abs(F.col("q_d") - F.col("d")) < 1)
+
+
+def _lists(scored: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """(query, near): the best ``k`` ids of each query, an array of (place, vec_id, score).
+
+    Equal vectors are cut by their first ids, each of which is an id, so no id among the best is lost.
+    """
+    by_vector = Window.partitionBy("query").orderBy(F.col("score").desc(), "first", "rep")
+    by_id = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    once = scored.groupBy("query", "rep").agg(F.max("first").alias("first"), F.max("score").alias("score"))
+    kept = once.withColumn("place", F.row_number().over(by_vector)).filter(F.col("place") <= k).select("query", "rep", "score")
+    return (
+        kept.join(vectors.select("rep", "ids"), "rep")
+        .select("query", "score", F.explode("ids").alias("vec_id"))
+        .withColumn("place", F.row_number().over(by_id))
+        .filter(F.col("place") <= k)
+        .groupBy("query")
+        .agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("near"))
+    )
+
+
+def _norm(vector: str) -> Column:
+    """The length of a vector that is not zero, finite whatever its size."""
+    largest = F.array_max(F.transform(vector, lambda x: F.abs(x)))
+    scaled = F.transform(F.arrays_zip(F.col(vector), F.array_repeat(largest, F.size(vector))), lambda p: p[vector] / p["1"])
+    return F.least(largest * F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x)), F.lit(sys.float_info.max))
 
 
 def neighbours(
-    df: DataFrame, queries: Column, k: int = K, tables: int = TABLES, probes: int = PROBES
+    df: DataFrame, queries: Column, k: int = K, tables: int = TABLES, probes: int = PROBES, exact: int = EXACT
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``df`` (vec_id, embedding) that ``queries`` picks."""
     vector = F.transform("embedding", lambda x: x.cast("double"))
@@ -152,36 +217,31 @@ def neighbours(
         .groupBy("vector")
         .agg(F.sort_array(F.collect_list("id")).alias("ids"))
     )
-    vectors = stage(smallest.withColumn("rep", F.monotonically_increasing_id()))
-    asked = stage(
-        rows.filter("asks").select("id", "vector").distinct().join(vectors.select("vector", "rep"), "vector").select("id", "rep", "vector")
-    )
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    largest = vectors.agg(F.max(norm)).first()[0] or 0.0
-    stored = _blocks(stage(_hashed(vectors.select("rep", "vector"), 1, tables, largest)), "c")
-    heads = asked.select("rep", "vector").dropDuplicates(["rep"])
-    probing = _blocks(stage(_hashed(heads, probes, tables, None)), "q")
-    found = probing.join(stored, ["d", "t", "bucket"]).select(
-        _best(k + 1)("q_ids", "q_vectors", "c_ids", "c_vectors").alias("best")
-    )
-    pairs = found.select(F.explode(F.arrays_zip("best.query", "best.rep", "best.score")).alias("p")).select("p.*")
-    # Matrix products differ in the last bits, so ranks get slack here and are settled by exact products.
-    near = Window.partitionBy("query").orderBy(F.col("score").desc(), "rep")
-    shortlist = pairs.groupBy("query", "rep").agg(F.max("score").alias("score"))
-    ranked = shortlist.withColumn("place", F.row_number().over(near)).filter(F.col("place") <= 2 * k + 2)
-    exact = (
-        ranked.select("query", "rep")
-        .join(vectors.select("rep", "vector", "ids"), "rep")
-        .join(vectors.select(F.col("rep").alias("query"), F.col("vector").alias("q_vector")), "query")
-        .select("query", F.explode("ids").alias("vec_id"), inner_product(F.col("q_vector"), F.col("vector")).alias("score"))
-    )
-    top = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
-    lists = (
-        exact.withColumn("place", F.row_number().over(top))
-        .filter(F.col("place") <= k + 1)
-        .groupBy("query")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("near"))
-    )
+    vectors = stage(
+        smallest.select(
+            "vector", "ids", F.monotonically_increasing_id().alias("first"), F.size("vector").alias("d"), _norm("vector").alias("norm"),
+            F.monotonically_increasing_id().alias("rep"),
+        ).withColumn("band", F.round(F.log2("norm") * BANDS).cast("int"))
+    )
+    bands = stage(vectors.groupBy("d", "band").agg(F.max("norm").alias("largest"), F.count(F.lit(1)).alias("n")))
+    banded = vectors.join(bands, ["d", "band"])
+    asked = stage(rows.filter("asks").select("id", "vector").distinct().join(vectors.drop("ids", "band"), "vector"))
+    heads = stage(asked.select("rep", "first", "vector", "d", F.col("norm").alias("largest")).dropDuplicates(["rep"]))
+    bucket = ["d", "t", "bucket"]
+    stored = _blocks(stage(_hashed(banded.filter(F.col("n") > exact), 1, tables, True)), "c", bucket)
+    probing = _blocks(stage(_hashed(heads, probes, tables, False)), "q", bucket)
+    few = _blocks(banded.filter(F.col("n") <= exact), "c", ["d"])
+    pairs = [probing.join(stored, bucket), _all_pairs(_blocks(heads, "q", ["d"]), few)]
+    lists = stage(_lists(_scored(pairs[0], k + 1).union(_scored(pairs[1], k + 1)), vectors, k + 1))
+    # Queries that found too little, to be compared with all.
+    there = stage(vectors.groupBy("d").agg(F.sum(F.size("ids")).alias("n_there")))
+    known = lists.select(F.col("query").alias("rep"), F.size("near").alias("n_found"))
+    lacking = F.coalesce("n_found", F.lit(0)) < F.least(F.col("n_there"), F.lit(k + 1))
+    short = stage(heads.join(known, "rep", "left").join(there, "d").filter(lacking).select(heads.columns))
+    if not short.isEmpty():
+        completed = _all_pairs(_blocks(short, "q", ["d"]), _blocks(vectors, "c", ["d"]))
+        rest = lists.join(short.select(F.col("rep").alias("query")), "query", "left_anti")
+        lists = rest.unionByName(_lists(_scored(completed, k + 1), vectors, k + 1))
     answers = asked.select("id", F.col("rep").alias("query")).join(lists, "query")
     others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("id")), 1, k)
     return answers.select(F.col("id").alias("query_id"), F.posexplode(others).alias("at", "hit")).select(
