@@ -460,6 +460,17 @@ def test_nearest_recall_of_mixed_norms(spark, scale):
         assert hits / (20 * len(found)) >= least
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_nearest_of_level_vectors_are_the_smallest_ids(spark, partitions):
+    x = np.eye(300)[np.random.default_rng(2).permutation(300)]
+    x[:, :3] += 1.0  # all pairs of products level but for a few
+    df = vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)]).repartition(partitions, "vec_id")
+    found = neighbours_by_query(df)
+    assert set(found) == set(range(0, 300, 20))
+    for q, near in found.items():
+        assert near == true_neighbours(x, q)
+
+
 # --- 10 languages ---
 
 

@@ -219,7 +219,7 @@ def neighbours(
     )
     vectors = stage(
         smallest.select(
-            "vector", "ids", F.monotonically_increasing_id().alias("first"), F.size("vector").alias("d"), _norm("vector").alias("norm"),
+            "vector", "ids", F.get("ids", F.lit(0)).alias("first"), F.size("vector").alias("d"), _norm("vector").alias("norm"),
             F.monotonically_increasing_id().alias("rep"),
         ).withColumn("band", F.round(F.log2("norm") * BANDS).cast("int"))
     )
