@@ -44,8 +44,9 @@ BLOCK = 512
 #: Bands of norms an octave, and up to how many vectors a band is compared as a whole.
 BANDS = 4
 EXACT = 2048
-#: Products that are summed at a time.
+#: Products that are summed, and hashed rows that are made, at a time.
 STEP = 1 << 15
+HASHED_ROWS = 20_000
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -79,23 +80,26 @@ def axes(vectors: np.ndarray, extra: np.ndarray, tables: int, probes: int) -> np
 def _hashed(df: DataFrame, probes: int, tables: int, stored: bool) -> DataFrame:
     """(rep, first, vector, d, t, bucket) for each row of ``df``: its axes. ``largest`` is the largest norm of a stored vector's band."""
 
+    step = max(1, HASHED_ROWS // (tables * probes))
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for _, same in frame.groupby("d", sort=False):
-                x = np.stack(same["vector"].to_list()).astype(np.float64) / same["largest"].to_numpy()[:, None]
-                extra = np.sqrt(np.maximum(1 - (x**2).sum(1), 0)) if stored else np.zeros(len(x))
-                found = axes(x, extra, tables, probes)
-                n, k = len(x), found.shape[2]
-                yield pd.DataFrame(
-                    {
-                        "rep": np.repeat(same["rep"].to_numpy(), tables * k),
-                        "first": np.repeat(same["first"].to_numpy(), tables * k),
-                        "vector": np.repeat(np.fromiter((v for v in same["vector"]), object, n), tables * k),
-                        "d": np.int32(x.shape[1]),
-                        "t": np.tile(np.repeat(np.arange(tables, dtype=np.int32), k), n),
-                        "bucket": found.ravel(),
-                    }
-                )
+            for _, alike in frame.groupby("d", sort=False):
+                for same in (alike.iloc[i : i + step] for i in range(0, len(alike), step)):
+                    x = np.stack(same["vector"].to_list()).astype(np.float64) / same["largest"].to_numpy()[:, None]
+                    extra = np.sqrt(np.maximum(1 - (x**2).sum(1), 0)) if stored else np.zeros(len(x))
+                    found = axes(x, extra, tables, probes)
+                    n, k = len(x), found.shape[2]
+                    yield pd.DataFrame(
+                        {
+                            "rep": np.repeat(same["rep"].to_numpy(), tables * k),
+                            "first": np.repeat(same["first"].to_numpy(), tables * k),
+                            "vector": np.repeat(np.fromiter((v for v in same["vector"]), object, n), tables * k),
+                            "d": np.int32(x.shape[1]),
+                            "t": np.tile(np.repeat(np.arange(tables, dtype=np.int32), k), n),
+                            "bucket": found.ravel(),
+                        }
+                    )
 
     rows = df.select("rep", "first", "vector", "d", "largest")
     return rows.mapInPandas(run, "rep long, first long, vector array<double>, d int, t int, bucket int")
