@@ -189,6 +189,25 @@ def test_pii_links_equal_values_and_leaves_the_rest(spark):
     assert replaced(spark, ["8.8.8.8"], "k") != replaced(spark, ["8.8.8.8"], "other key")
 
 
+def test_pii_finds_values_side_by_side(spark):
+    card, bare, ssn, phone, date = "4556 7375 8689 9855", "4556737586899855", "123-45-6789", "415-555-1234", "1985-03-12"
+    iban, odd_card = "BE68 5390 0754 7034", "45567375 86899855"
+    singles = [card, bare, ssn, "212-55-1234", phone, "212-555-0147", date, "2020-01-31", "2020-02-29", iban, odd_card]
+    new = dict(zip(singles, replaced(spark, singles), strict=True))
+    assert all(a != b for a, b in new.items())
+    texts = [
+        "{%s} 12/26" % bare, "{%s} 123" % card, "{%s} {212-55-1234}" % ssn, "{%s} {212-555-0147}" % phone, "{%s} {%s}" % (date, ssn),
+        "{2020-01-31} {2020-02-29}", "{%s} {%s} 123 {%s}" % (card, bare, card), "{%s} 1234 5678" % iban, "{%s} {%s}" % (iban, card),
+        "DE12 {%s} 12" % card, "1234 {%s}" % card, "1234 5678 {%s} {%s}" % (card, phone), "1111 2222 3333 4443 {%s}" % phone,
+        "{%s}" % odd_card, "\ufdd0 {%s} \ufdd0\ufdd1\ufdd2 {%s} 2021-02-30 \ufdd0\ufdd3" % (date, card),
+    ]
+    found = replaced(spark, [t.replace("{", "").replace("}", "") for t in texts])
+    for text, clean in zip(texts, found, strict=True):
+        for value, pseudonym in new.items():
+            text = text.replace("{%s}" % value, pseudonym)
+        assert clean == text
+
+
 def test_feistel_is_a_permutation(spark):
     for left, right in ((10, 10), (7, 13), (1, 20)):
         pairs = spark.range(left * right).select(

@@ -8,7 +8,8 @@ secrets, which are no numbers of a format, get keyed digests of their own alphab
 
 What is found: e-mail addresses, payment cards (Luhn), IPv4 addresses, North American phone numbers and
 international ones with a plus, social security numbers, IBANs (mod 97), dates that exist (2020-01-31, 31.1.2020,
-1/31/2020), access keys and passwords. Digits that don't validate stay as they are.
+1/31/2020), access keys and passwords. Digits that don't validate stay as they are, but what lies in or beside
+them is looked for again: a text is read in several passes, each over what those before it have left.
 
 Defined results: a null text stays null, an empty one empty; repeated rows are treated alike; an empty
 table gives an empty result; other columns are not changed.
@@ -28,21 +29,58 @@ KEY_SETTING = "spark.vintage.pii.key"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NUMBER = r"(?<![\w])(?<!\d[.,-])"
+#: Length -> countries whose IBANs have it.
+_IBANS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern(length: int, countries: str) -> str:
+    fours, rest = divmod(length - 4, 4)
+    last = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})\d\d(?: ?[A-Z0-9]{{4}}){{{fours}}}{last}"
+
+
+_FOURS = r"\d{4}(?:[ -]\d{4}){3}"
+_CARD = rf"\d{{13,19}}|{_FOURS}|\d{{4}}[ -]\d{{6}}[ -]\d{{4,5}}"
 #: Kind -> pattern, tried in this order at every place of a text.
 PATTERNS = {
     "email": r"(?<![\w.+%-])[\w.+%-]+@(?:[A-Za-z0-9-]{1,63}\.){1,9}[A-Za-z]{2,24}",
     "secret": r"(?i:(?:password|passwd|pwd|secret|token|api_key))[=:]\s?[^\s,;]{6,}",
     "access": r"(?<!\w)(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)",
-    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "iban": rf"(?<!\w)(?=[A-Z]{{2}}\d\d)(?:{'|'.join(_iban_pattern(*x) for x in _IBANS.items())})(?!\w)",
     "ip": rf"{_NUMBER}{_OCTET}(?:\.{_OCTET}){{3}}(?!\w)(?!\.\d)",
-    "card": rf"{_NUMBER}\d(?:[ -]?\d){{12,18}}(?!\w)",
     "ssn": rf"{_NUMBER}(?!000|666|9\d\d)\d{{3}}-(?!00)\d\d-(?!0000)\d{{4}}(?!\w)",
     "date": rf"{_NUMBER}(?:\d{{4}}-\d\d-\d\d|\d{{1,2}}\.\d{{1,2}}\.\d{{4}}|\d{{1,2}}/\d{{1,2}}/\d{{4}})(?!\w)",
     "phone": r"(?<![\w+])(?:\+1[ .-]?|1[ .-])?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?!\w)",
+    "card": rf"{_NUMBER}(?:{_CARD})(?!\w)",
     "plus": r"(?<![\w+])\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w)",
 }
-KINDS = tuple(PATTERNS)
-FOUND = "|".join(f"({p})" for p in PATTERNS.values())
+KINDS = ("email", "secret", "access", "iban", "ip", "card", "ssn", "date", "phone", "plus")
+_LATER = ("ip", "ssn", "date", "phone", "card", "plus")
+#: Passes over a text as (patterns, what a text must hold, whether only texts are read in which something failed validation).
+#: Each reads what the passes before it have left, so what lies in or beside a span that failed is looked for again:
+#: cards of 4-4-4-4-3 digits and all other kinds without IBANs, cards one, two and three groups of four behind a
+#: failed start, and last IBANs of any country and cards of any grouping.
+PASSES = [
+    (PATTERNS, r"[0-9@=:]", False),
+    ({k: PATTERNS[k] for k in _LATER} | {"card": rf"{_NUMBER}(?:{_FOURS}[ -]\d{{3}}|{_CARD})(?!\w)"}, r"\d", True),
+    *(({"card": rf"(?<=(?<!\w)\d{{4}}(?:[ -]\d{{4}}){{{n}}}[ -]){_FOURS}(?!\w)"}, rf"\d{{4}}(?:[ -]\d{{4}}){{{n + 4}}}", True) for n in range(3)),
+    (
+        {
+            "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+            "card": rf"{_NUMBER}\d(?:[ -]?\d){{12,18}}(?!\w)",
+        },
+        r"\d(?:[ -]?\d){12}|[A-Z]{2}\d{2} ?[A-Z0-9]{4} ?[A-Z0-9]{4}",
+        False,
+    ),
+]
+#: A code point that is no character. In texts it is followed by the next one, in marks of replaced values by another.
+_MARK = "\ufdd0"
+_PLAIN = _MARK + "\ufdd1"
 #: Days of 400 years, in which the calendar repeats, and the factors they are permuted by.
 CYCLE, CYCLE_LEFT = 146_097, 189
 CYCLE_START = -62_091  # 1800-01-01, in days from 1970-01-01
@@ -284,37 +322,60 @@ def pseudonyms(df: DataFrame, carry: list[str], key: str) -> DataFrame:
     """
     secret = F.lit(f"{key}|")
     rows = df.select(packed(df, carry).alias("row"), F.col("text").alias("text"))
-    found = rows.withColumn(
-        "found", F.when(F.col("text").rlike(r"[0-9@=:]"), F.regexp_extract_all("text", F.lit(FOUND), 0))
+    rows = rows.withColumn("now", F.replace("text", F.lit(_MARK), F.lit(_PLAIN))).withColumn("failed", F.lit(False))
+    for n, (patterns, holding, after_failure) in enumerate(PASSES):
+        rows = _pass(rows, n, patterns, F.col("now").rlike(holding) & (F.col("failed") | F.lit(not after_failure)), secret)
+    clean = F.col("now")
+    for n in range(len(PASSES)):
+        gaps = F.split(clean, _mark(n), -1)
+        filled = F.array_join(F.zip_with(gaps, F.col(f"new{n}.new"), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
+        rows = rows.withColumn("now", F.when(F.size(f"new{n}") > 0, filled).otherwise(clean))
+    changed = lambda name: sum(
+        F.coalesce(F.size(F.filter(f"new{n}", lambda x: x["kind"] == name)), F.lit(0)) for n, (p, _, _) in enumerate(PASSES) if name in p
+    )
+    return rows.select(
+        "row",
+        F.replace("now", F.lit(_PLAIN), F.lit(_MARK)).alias("clean"),
+        *(changed(name).cast("long").alias(f"n_{name}") for name in KINDS),
     )
 
+
+def _mark(n: int) -> str:
+    return _MARK + chr(ord(_MARK) + 2 + n)
+
+
+def _pass(rows: DataFrame, n: int, patterns: dict[str, str], wanted: Column, secret: Column) -> DataFrame:
+    """``rows`` with ``now`` holding marks for the values found and valid, which ``new<n>`` lists as (kind, new)."""
+    pattern = "|".join(f"({p})" for p in patterns.values())
+
     def named(x: Column) -> Column:
         kind = F.lit(None).cast("string")
-        for name, pattern in reversed(PATTERNS.items()):
-            kind = F.when(x.rlike(f"^(?:{pattern})$"), name).otherwise(kind)
-        return F.struct(x.alias("text"), kind.alias("kind"))
+        for name, p in reversed(patterns.items()):
+            kind = F.when(x.rlike(f"^(?:{p})$"), name).otherwise(kind)
+        return F.struct(x.alias("text"), (kind if len(patterns) > 1 else F.lit(next(iter(patterns)))).alias("kind"))
 
     def replaced(x: Column) -> Column:
         column = None
-        for name, function in _REPLACE.items():
-            value = function(x["text"], secret)
+        for name in patterns:
+            value = _REPLACE[name](x["text"], secret)
             column = F.when(x["kind"] == name, value) if column is None else column.when(x["kind"] == name, value)
         return F.struct(x["text"].alias("text"), x["kind"].alias("kind"), F.coalesce(column, x["text"]).alias("new"))
 
+    found = rows.withColumn("found", F.when(wanted, F.regexp_extract_all("now", F.lit(pattern), 0)))
     any_found = F.size("found") > 0
-    kinds = found.withColumn("named", F.when(any_found, F.transform("found", named)))
-    swapped = kinds.withColumn("swapped", F.when(any_found, F.transform("named", replaced))).drop("named")
-    gaps = F.split("text", FOUND, -1)
+    kinds = found.withColumn("named", F.when(any_found, F.transform("found", named))).drop("found")
+    swapped = kinds.withColumn("swapped", F.when(F.size("named") > 0, F.transform("named", replaced))).drop("named")
+    left = F.transform("swapped", lambda x: F.when(x["new"] == x["text"], x["text"]).otherwise(_mark(n)))
     joined = F.array_join(
-        F.zip_with(gaps, F.col("swapped.new"), lambda gap, new: F.concat(F.coalesce(gap, F.lit("")), F.coalesce(new, F.lit("")))), ""
-    )
-    changed = lambda name: F.coalesce(
-        F.size(F.filter("swapped", lambda x: (x["kind"] == name) & (x["new"] != x["text"]))), F.lit(0)
+        F.zip_with(F.split("now", pattern, -1), left, lambda gap, x: F.concat(F.coalesce(gap, F.lit("")), F.coalesce(x, F.lit("")))), ""
     )
+    valid = F.transform(F.filter("swapped", lambda x: x["new"] != x["text"]), lambda x: F.struct(x["kind"].alias("kind"), x["new"].alias("new")))
+    kept = [c for c in rows.columns if c not in ("now", "failed")]
     return swapped.select(
-        "row",
-        F.when(any_found, joined).otherwise(F.col("text")).alias("clean"),
-        *(F.when(any_found, changed(name)).otherwise(0).cast("long").alias(f"n_{name}") for name in KINDS),
+        *kept,
+        F.when(F.size("swapped") > 0, joined).otherwise(F.col("now")).alias("now"),
+        (F.col("failed") | F.coalesce(F.exists("swapped", lambda x: x["new"] == x["text"]), F.lit(False))).alias("failed"),
+        valid.alias(f"new{n}"),
     )
 
 
