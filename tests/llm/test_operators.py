@@ -208,6 +208,11 @@ def test_pii_finds_values_side_by_side(spark):
         assert clean == text
 
 
+def test_pii_finds_the_dates_of_timestamps(spark):
+    day, *found = replaced(spark, ["2020-01-31", "2020-01-31T10:00:00Z", "at 2020-01-31T10:00, 2020-01-31 10:00", "2020-01-31Tx 2020-01-311"])
+    assert day != "2020-01-31" and found == [f"{day}T10:00:00Z", f"at {day}T10:00, {day} 10:00", "2020-01-31Tx 2020-01-311"]
+
+
 def test_feistel_is_a_permutation(spark):
     for left, right in ((10, 10), (7, 13), (1, 20)):
         pairs = spark.range(left * right).select(

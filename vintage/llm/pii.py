@@ -54,7 +54,7 @@ PATTERNS = {
     "iban": rf"(?<!\w)(?=[A-Z]{{2}}\d\d)(?:{'|'.join(_iban_pattern(*x) for x in _IBANS.items())})(?!\w)",
     "ip": rf"{_NUMBER}{_OCTET}(?:\.{_OCTET}){{3}}(?!\w)(?!\.\d)",
     "ssn": rf"{_NUMBER}(?!000|666|9\d\d)\d{{3}}-(?!00)\d\d-(?!0000)\d{{4}}(?!\w)",
-    "date": rf"{_NUMBER}(?:\d{{4}}-\d\d-\d\d|\d{{1,2}}\.\d{{1,2}}\.\d{{4}}|\d{{1,2}}/\d{{1,2}}/\d{{4}})(?!\w)",
+    "date": rf"{_NUMBER}(?:\d{{4}}-\d\d-\d\d(?=T\d\d)|(?:\d{{4}}-\d\d-\d\d|\d{{1,2}}\.\d{{1,2}}\.\d{{4}}|\d{{1,2}}/\d{{1,2}}/\d{{4}})(?!\w))",
     "phone": r"(?<![\w+])(?:\+1[ .-]?|1[ .-])?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?!\w)",
     "card": rf"{_NUMBER}(?:{_CARD})(?!\w)",
     "plus": r"(?<![\w+])\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w)",
