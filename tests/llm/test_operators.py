@@ -378,6 +378,14 @@ def test_word_tokenizer_cuts_where_the_library_does():
         assert [flat[e - n : e].tolist() for e, n in zip(ends, counts, strict=True)] == [plain.word_ids(t)[:-1] for t in texts]
 
 
+def test_word_tokenizer_takes_added_tokens_as_they_are_written():
+    texts = ["<|ENDOFTEXT|>", "a <|EndOfText|>. B", "X<|endoftext|>Y", "<|STARTOFTEXT|><|startoftext|>", "A<|B|>", "<|endoftext|>"]
+    words = tokenfile.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    flat, counts = words.encode([t.encode() for t in texts])
+    ends = np.cumsum(counts)
+    assert [flat[e - n : e].tolist() for e, n in zip(ends, counts, strict=True)] == [plain.word_ids(t)[:-1] for t in texts]
+
+
 def test_token_files(spark, odd, tmp_path):
     for k, docs in enumerate(both(spark, odd)):
         path = str(tmp_path / f"tokens{k}")

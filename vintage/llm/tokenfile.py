@@ -171,7 +171,7 @@ class WordTokenizer:
     """A tokenizer of the tokenizers library whose tokens never cross ASCII white space, with caches.
 
     New words are cut in front of closing ASCII punctuation behind a letter or digit, where the tokenizer
-    cuts too, and ASCII words are lower-cased, as it does; the library encodes each such part once.
+    cuts too, and ASCII words are lower-cased, as it does, but for those that may hold an added token; the library encodes each such part once.
     """
 
     def __init__(self, path: str) -> None:
@@ -194,7 +194,8 @@ class WordTokenizer:
             self.parts = Ids()
         flat, counts = [], []
         for word in words:
-            plain = word.lower() if word.isascii() else word
+            # Added tokens are looked for in the text as it is, so what may hold one is not lower-cased.
+            plain = word.lower() if word.isascii() and b"<|" not in word else word
             base = plain.rstrip(_PUNCTUATION)
             if base == plain or not base[-1:].isalnum() or b"<|" in plain:
                 flat.append(plain)
