@@ -345,6 +345,14 @@ def test_license_templates(spark):
     assert found[0][1] == 1 and found[6][1] == 0
 
 
+def test_license_templates_need_all_their_key_phrases(spark):
+    words = licenses.TEMPLATES["mit-text"][0]
+    texts = [words] * 3 + [words.removesuffix(" to deal in the software without restriction")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(df, ["doc_id"]).select("row.doc_id", "labels", "score").collect()}
+    assert [found[i] for i in range(4)] == [("mit-text", 1.0)] * 3 + [("", 0.0)]
+
+
 # --- 5 token files ---
 
 

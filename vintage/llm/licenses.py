@@ -4,8 +4,8 @@ Every licence template is a sequence of words with mandatory key phrases. The wo
 are looked for in the whole corpus, and how many files hold each gives its inverse document frequency.
 The index holds, per template, the positions of its ``RARE`` words of highest such frequency. A file's
 words that are in the index are looked up; those that agree on the difference between their place in the
-file and in the template stand for one copy of it. A copy counts if a key phrase stands at its place
-there and the agreeing words carry enough of the template's weight.
+file and in the template stand for one copy of it. A copy counts if all key phrases stand at their
+places there and the agreeing words carry enough of the template's weight.
 
 Base phrases are reported at all their places, whatever the templates say.
 
@@ -34,7 +34,7 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# Wording of public licence notices, label -> (words, key phrases of which one must stand in its place).
+# Wording of public licence notices, label -> (words, key phrases, all of which must stand in their places).
 TEMPLATES = {
     "gpl": ("this work is licensed under the gnu general public license", ("gnu general public license",)),
     "gpl-2.0": ("this work is licensed under the gnu general public license version 2", ("general public license version 2",)),
@@ -158,28 +158,33 @@ def scan(df: DataFrame, carry: list[str]) -> DataFrame:
     ]
     names = _phrases()
     keys = inline(
-        df.sparkSession, "label, phrase, position",
-        [(label, names.index(p), i) for label, (text, phrases) in TEMPLATES.items() for p in phrases for i in offsets(text, p)],
+        df.sparkSession, "label, phrase, position, n_keys",
+        [(label, names.index(p), i, len(set(phrases))) for label, (text, phrases) in TEMPLATES.items() for p in phrases for i in offsets(text, p)],
     )
     some = files.filter(F.size("hits") > 0)
+    no_key = [F.lit(None).cast("int").alias(c) for c in ("phrase", "n_keys")]
     aligned = (
         some.select("rid", F.explode("hits").alias("hit"))
         .select("rid", "hit.w", "hit.at")
         .join(F.broadcast(lookup), "w")
-        .select("rid", "label", (F.col("at") - F.col("position")).alias("start"), "weight", F.lit(0).alias("is_key"))
+        .select("rid", "label", (F.col("at") - F.col("position")).alias("start"), "weight", *no_key)
     )
     every_place = F.array(*(F.struct(F.lit(k).alias("phrase"), F.col(f"places.p{k}").alias("at")) for k in range(len(names))))
     verified = (
         some.select("rid", F.explode(F.filter(every_place, lambda p: F.size(p["at"]) > 0)).alias("p"))
         .select("rid", "p.phrase", F.explode("p.at").alias("at"))
         .join(F.broadcast(keys), "phrase")
-        .select("rid", "label", (F.col("at") - F.col("position")).alias("start"), F.lit(0.0).alias("weight"), F.lit(1).alias("is_key"))
+        .select("rid", "label", (F.col("at") - F.col("position")).alias("start"), F.lit(0.0).alias("weight"), "phrase", "n_keys")
     )
     copies = (
         aligned.union(verified)
         .groupBy("rid", "label", "start")
-        .agg(F.sum(F.round("weight", 12).cast("decimal(20,12)")).cast("double").alias("coverage"), F.max("is_key").alias("is_key"))
-        .filter((F.col("is_key") == 1) & (F.col("coverage") >= MIN_COVERAGE))
+        .agg(
+            F.sum(F.round("weight", 12).cast("decimal(20,12)")).cast("double").alias("coverage"),
+            F.size(F.collect_set("phrase")).alias("n_found"),
+            F.max("n_keys").alias("n_keys"),
+        )
+        .filter((F.col("n_found") == F.col("n_keys")) & (F.col("coverage") >= MIN_COVERAGE))
     )
     found = copies.groupBy("rid").agg(
         F.collect_set("label").alias("found"), F.least(F.max("coverage"), F.lit(1.0)).alias("best")
