@@ -31,7 +31,8 @@ try:
     import corpus_pipeline
     from vintage.llm import queries as llm
 except ImportError as missing:
-    if missing.name not in ("corpus_pipeline", "vintage.llm"):
+    # The subpackage, or a library that only it needs, is not there. An error within ``vintage`` is one.
+    if (missing.name or "").startswith("vintage") and missing.name != "vintage.llm":
         raise
     llm = None
 
@@ -544,7 +545,11 @@ def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _llm_queries() | {
+    return _llm_queries() | core_queries()
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {
         "latest": latest,
         "latest_as_of": latest_as_of,
         "revision_history": revision_history,
@@ -863,9 +868,13 @@ def _materialized_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return (llm.oracle_sql() if llm else {}) | core_oracles()
+
+
+def core_oracles() -> dict[str, str]:
     deaths_suite, activity_suite = _suites()
     fact_columns = f"{_key('state')} AS state_key, {_DEATHS_COLUMNS}"
-    return (llm.oracle_sql() if llm else {}) | {
+    return {
         "latest": _with(_latest_sql("reports", "snapshot_date, state", fact_columns)),
         "latest_as_of": _with(
             _latest_sql("reports", "snapshot_date, state", fact_columns, f"ingested_at <= TIMESTAMP '{AS_OF}'")

@@ -34,12 +34,3 @@ def layers(spark, tmp_path):
     names = Layers.prefixed(f"t{uuid.uuid4().hex[:10]}_")
     create_tables(spark, names, str(tmp_path / "tables"))
     return names
-
-
-def tuples(df, *columns):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=repr)
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()

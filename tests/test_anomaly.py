@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import plan, tuples
+from helpers import plan, tuples
 from pyspark.sql import functions as F
 
 from vintage.feeds import DEATHS

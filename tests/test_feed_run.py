@@ -2,7 +2,7 @@ from dataclasses import replace
 from datetime import date
 
 import pytest
-from conftest import tuples
+from helpers import tuples
 from pyspark.sql import functions as F
 from test_ingest import death, land
 

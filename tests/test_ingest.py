@@ -2,7 +2,7 @@ import json
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import tuples
+from helpers import tuples
 from pyspark.sql import functions as F
 
 from vintage.feeds import ACTIVITY, DEATHS

@@ -1,4 +1,4 @@
-from conftest import plan
+from helpers import plan
 from pyspark.sql import functions as F
 
 from vintage.operators.paging import page, page_after

@@ -2,7 +2,7 @@ import json
 from datetime import date
 
 import pytest
-from conftest import plan, tuples
+from helpers import plan, tuples
 
 from vintage.feeds import DEATHS
 from vintage.operators import rules

@@ -2,7 +2,7 @@ import re
 from datetime import date, datetime
 
 import pytest
-from conftest import plan, tuples
+from helpers import plan, tuples
 from pyspark.sql import functions as F
 
 from vintage.feeds import ACTIVITY, DEATHS

@@ -2,7 +2,7 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import plan, tuples
+from helpers import plan, tuples
 from pyspark.sql import functions as F
 
 from vintage.functions.skew import hot_groups, with_versions
