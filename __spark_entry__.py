@@ -25,6 +25,7 @@ from vintage.schemas import KEYS, PERIOD_KEYS, VERSION, Layers, create_tables
 from vintage.session import shared_dir
 from vintage.sources import landing, ledger
 from vintage.sources.load import load_batch
+from vintage.streaming import gated
 from vintage.streaming.ingest import stream_ingest
 
 try:
@@ -115,6 +116,15 @@ DAILY = """
     FROM {events} GROUP BY cast(ts AS date), user_id
 """
 
+# Source records of which the later ones are faulty here and there. ``fault`` tells how, but is not landed.
+FAULTY = """
+    SELECT day, fault, CASE WHEN fault <> 0 THEN cast(day AS string) || 'T00:00:00.000' END AS week_ending_date,
+           CASE WHEN fault = 1 THEN NULL WHEN fault IN (5, 6, 7) THEN 'twice' ELSE 'u' || cast(user_id AS string) END AS state,
+           CASE WHEN fault = 2 THEN 'x' WHEN fault = 3 THEN '-5' ELSE cast(total AS string) END AS covid_19_deaths,
+           CASE WHEN fault = 4 THEN '0' ELSE cast(total + n AS string) END AS total_deaths
+    FROM (SELECT *, CASE WHEN day > DATE '{cut}' THEN (user_id * 31 + extract(DAY FROM day)) % 41 ELSE 40 END AS fault FROM ({daily}))
+""".replace("{cut}", BACKFILL_TO.isoformat()).replace("{daily}", DAILY)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -376,6 +386,35 @@ def stream_ingested(spark, sf_dir):
     return spark.table(layers.raw_table(DEATHS)).drop("raw_payload")
 
 
+def stream_gated(spark, sf_dir):
+    """Two micro-batches, the second with faulty rows, then both played again: ledger, quarantine and raw."""
+    layers = _layers(spark)
+    records = _view(spark, sf_dir, FAULTY)
+    landed = [c for c in records.columns if c not in ("day", "fault")]
+    late = F.col("day") > F.lit(BACKFILL_TO)
+    path = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex[:12]}"
+    for i, part in enumerate((records.where(~late), records.where(late))):
+        part.select(F.to_json(F.struct(*landed)).alias("value")).write.text(f"{path}/{i}")
+        gated.gated_ingest(spark, DEATHS, path, f"{path}-checkpoint", layers, now=STAMP)
+    for i in range(2):
+        gated.admit(spark, DEATHS, landing.read_landing(spark, f"{path}/{i}"), i, layers, now=CUT)
+    null = F.lit(None)
+    ledgered = spark.table(layers.batches).select(
+        F.lit("ledger").alias("kept_in"), "run_id", F.concat_ws(",", "failed_rules").alias("reasons"), "status",
+        null.cast("date").alias("snapshot_date"), null.cast("string").alias("state"), null.cast("bigint").alias("covid_19_deaths"),
+        "row_count_in", "row_count_passed", "row_count_quarantined",
+    )
+    row = lambda kept_in, reasons: (
+        F.lit(kept_in).alias("kept_in"), "run_id", reasons.alias("reasons"), null.cast("string").alias("status"), "snapshot_date", "state",
+        "covid_19_deaths", *(null.cast("bigint").alias(f"row_count_{c}") for c in ("in", "passed", "quarantined")),
+    )
+    out = gated.quarantined(spark, DEATHS, layers).withColumns({
+        "state": landing.payload_field("state"), "covid_19_deaths": landing.payload_field("covid_19_deaths").try_cast("bigint")
+    })
+    raw = spark.table(layers.raw_table(DEATHS))
+    return ledgered.unionByName(out.select(*row("quarantine", F.concat_ws(",", "reasons")))).unionByName(raw.select(*row("raw", F.lit(""))))
+
+
 # --- load ---
 
 
@@ -583,6 +622,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "versions_all": versions_all,
         "z_scores_double": z_scores_double,
         "stream_ingested": stream_ingested,
+        "stream_gated": stream_gated,
         "upsert_deaths": upsert_deaths,
         "upsert_activity": upsert_activity,
         "run_log_rows": run_log_rows,
@@ -773,6 +813,39 @@ _FLAG_ID = """md5(run_id || '-' || source || '-' || state || '-' || metric_name
     cast(snapshot_date AS varchar) || '-' || cast(observed_value AS varchar)) AS flag_id"""
 
 
+def _gated_sql() -> str:
+    run = f"CASE WHEN day > DATE '{BACKFILL_TO.isoformat()}' THEN 'run_covid_0000000001' ELSE 'run_covid_0000000000' END"
+    reasons = {
+        "malformed covid_19_deaths": "fault = 2",
+        "missing snapshot_date": "week_ending_date IS NULL",
+        "not_be_null(state)": "state IS NULL",
+        "not_be_null(snapshot_date)": "week_ending_date IS NULL",
+        "be_between(covid_19_deaths)": "fault = 3",
+        "pair_A_greater_than_B(total_deaths,covid_19_deaths)": "fault NOT IN (2, 3) AND cast(total_deaths AS bigint) < try_cast(covid_19_deaths AS bigint)",
+        "compound_columns_unique(run_id,snapshot_date,state)": "copies > 1",
+    }
+    listed = ", ".join(f"CASE WHEN {condition} THEN '{name}' END" for name, condition in reasons.items())
+    failed = " || ',' || ".join(
+        f"CASE WHEN bool_or({reasons[k]}) THEN '{k[: k.index('(')]}' ELSE '' END" for k in list(reasons)[2:]
+    )
+    return f"""
+        , marked AS (
+            SELECT *, concat_ws(',', {listed}) AS reasons FROM (
+                SELECT *, {run} AS run_id, cast(substr(week_ending_date, 1, 10) AS date) AS snapshot_date,
+                       count(*) OVER (PARTITION BY {run}, week_ending_date, state) AS copies FROM faulty))
+        SELECT 'ledger' AS kept_in, run_id, trim(regexp_replace({failed}, ',+', ',', 'g'), ',') AS reasons,
+               CASE WHEN bool_and(reasons = '') THEN 'passed' WHEN bool_or(reasons = '') THEN 'partial' ELSE 'rejected' END AS status,
+               cast(NULL AS date) AS snapshot_date, cast(NULL AS varchar) AS state, cast(NULL AS bigint) AS covid_19_deaths,
+               count(*) AS row_count_in, count(*) FILTER (reasons = '') AS row_count_passed,
+               count(*) FILTER (reasons <> '') AS row_count_quarantined
+        FROM marked GROUP BY run_id
+        UNION ALL
+        SELECT CASE WHEN reasons = '' THEN 'raw' ELSE 'quarantine' END, run_id, reasons, NULL, snapshot_date, state,
+               try_cast(covid_19_deaths AS bigint), NULL, NULL, NULL
+        FROM marked
+    """
+
+
 def _upsert_sql(view: str, columns: str) -> str:
     keys = "run_id, snapshot_date, state"
 
@@ -975,6 +1048,7 @@ def core_oracles() -> dict[str, str]:
             nans=WITH_NAN.replace("{reports}", "reports"),
         ),
         "stream_ingested": _ingest_sql(DEATHS_RECORDS, "run_covid_0000000000", _DEATHS_INGESTED),
+        "stream_gated": _with(_gated_sql().lstrip(), faulty=FAULTY).replace(") , marked", "), marked", 1),
         "upsert_deaths": _upsert_sql("reports", _DEATHS_COLUMNS),
         "upsert_activity": _upsert_sql("activity", _ACTIVITY_COLUMNS),
         "run_log_rows": _load_log("run_all", DEATHS.pipeline, "events", extract="success", load="success"),

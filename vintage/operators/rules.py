@@ -203,6 +203,27 @@ def violations(df: DataFrame, rule: Rule, hot_rows: int = HOT_ROWS) -> DataFrame
     return join_groups(checked, repeated, rule.columns, "left_semi", null_safe=True, hot_rows=hot_rows)
 
 
+def judged(df: DataFrame, rules: tuple[Rule, ...], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every row once, with ``broken``: the positions of the rules it breaks; a NaN comes back as null.
+
+    Rules on single rows are one expression. A uniqueness rule splits the rows by whether their key is
+    repeated, which copes with a key that many rows share.
+    """
+    single = [F.when(rule.unexpected(), F.lit(i)) for i, rule in enumerate(rules) if not rule.by_key]
+    df = nan_as_null(df).withColumn("broken", F.array_compact(F.array(F.lit(None).cast("int"), *single)))
+    for i, rule in enumerate(rules):
+        if rule.by_key:
+            checked = df.where(rule.evaluated())
+            repeated = duplicate_keys(checked, rule.columns).select(*rule.columns)
+            again, once = (
+                join_groups(checked, repeated, rule.columns, how, null_safe=True, hot_rows=hot_rows)
+                for how in ("left_semi", "left_anti")
+            )
+            again = again.withColumn("broken", F.array_sort(F.array_append("broken", F.lit(i))))
+            df = again.unionByName(once).unionByName(df.where(~rule.evaluated()))
+    return df
+
+
 def sample_violations(df: DataFrame, rule: Rule, order: tuple[str, ...], n: int = SAMPLE_SIZE) -> DataFrame:
     """The first ``n`` violations in ``order``."""
     return violations(df, rule).orderBy(*order).limit(n)

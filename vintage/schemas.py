@@ -34,6 +34,15 @@ STATISTICS_DDL = (
     "squares double, low double, high double"
 )
 
+BATCHES = "batch_ledger"
+BATCHES_DDL = (
+    "batch_id bigint, status string, row_count_in bigint, row_count_passed bigint, row_count_quarantined bigint, "
+    "failed_rules array<string>, digest string, judged_at timestamp_ntz, source string, run_id string"
+)
+
+#: Rows that a gated stream kept out, as they came, and why.
+QUARANTINE_DDL = "snapshot_date date, reasons array<string>, raw_payload variant, run_id string"
+
 
 def _within(database: str | None, table: str) -> str:
     return f"{database}.{table}" if database else table
@@ -61,6 +70,13 @@ class Layers:
     def raw_table(self, feed: Feed) -> str:
         return _within(self.raw, feed.table)
 
+    def quarantine(self, feed: Feed) -> str:
+        return _within(self.raw, f"{feed.table}_quarantine")
+
+    @property
+    def batches(self) -> str:
+        return _within(self.observability, BATCHES)
+
     @property
     def run_log(self) -> str:
         return _within(self.observability, RUN_LOG)
