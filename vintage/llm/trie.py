@@ -250,9 +250,10 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _crown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The nodes that cross shards, finished: what they add to each other, and their parents' smallest members."""
-    table = pa.Table.from_batches(batches)
-    if not table.num_rows:
+    batches = list(batches)
+    if not sum(b.num_rows for b in batches):
         return
+    table = pa.Table.from_batches(batches)
     column = lambda c: table.column(c).combine_chunks().to_numpy(zero_copy_only=False)
     keys = _words(table.column("digest").to_pylist())
     slots = NodeTable(keys)
