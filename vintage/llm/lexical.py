@@ -46,7 +46,7 @@ BLOCK_BYTES = 4 << 20
 #: Documents of the first wave, and how many times larger each wave is than the one before.
 FIRST_WAVE, GROWTH = 4096, 16
 #: Term counts a task takes when vectors are dealt out by length.
-PART_TERMS = 4_000_000
+PART_TERMS = 1_000_000
 #: Entries (items times documents) of a bucket's table of partial products.
 BUCKET = 400_000
 #: Bounds are floating sums; they may be off by less than this share.
