@@ -44,6 +44,7 @@ STAMP = "2024-02-01 06:00:00"
 FRESH_AS_OF = date(2024, 2, 13)
 BACKFILL_TO = date(2024, 1, 20)
 METRIC = DEATHS.metric
+AS_OF_TIMES = {AS_OF: None, CUT: None, "2024-01-28 00:00:00": (date(2024, 1, 10), BACKFILL_TO)}
 
 # --- views over events ---
 
@@ -486,6 +487,24 @@ def refresh_models(spark, sf_dir):
     return spark.table(built["fct_revision_history"])
 
 
+def as_of_intervals(spark, sf_dir):
+    """What was known at several times, from validity kept through a refresh; the last one for a few periods."""
+    layers = _layers(spark)
+    reports = _reports(spark, sf_dir)
+    early = F.col("ingested_at") < ntz(CUT)
+    _append(reports.where(early), DEATHS, layers)
+    models.build_models(spark, layers)
+    models.build_validity(spark, layers)
+    _append(reports.where(~early), DEATHS, layers)
+    runs = [row[0] for row in reports.where(~early).select("run_id").distinct().collect()]
+    models.refresh_models(spark, runs, layers)
+    parts = [
+        models.as_of(spark, t, layers, periods).select(F.lit(t).alias("as_of"), "state_key", *DEATHS.columns)
+        for t, periods in AS_OF_TIMES.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def materialize_models(spark, sf_dir):
     layers = _layers(spark)
     _append(_reports(spark, sf_dir), DEATHS, layers)
@@ -632,6 +651,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "materialize_models": materialize_models,
         "published_marts": published_marts,
         "refresh_models": refresh_models,
+        "as_of_intervals": as_of_intervals,
         "feed_run_deaths": feed_run_deaths,
         "feed_run_flags": feed_run_flags,
         "feed_run_activity": feed_run_activity,
@@ -1066,6 +1086,13 @@ def core_oracles() -> dict[str, str]:
         "materialize_models": _with(_materialized_sql()),
         "published_marts": _with(_published_sql()),
         "refresh_models": _with(_revisions_sql("bigint")),
+        "as_of_intervals": _with(" UNION ALL ".join(
+            _latest_sql(
+                "reports", "snapshot_date, state", f"'{t}' AS as_of, {fact_columns}",
+                f"ingested_at <= TIMESTAMP '{t}'" + (f" AND snapshot_date BETWEEN DATE '{p[0]}' AND DATE '{p[1]}'" if p else ""),
+            )
+            for t, p in AS_OF_TIMES.items()
+        )),
         "feed_run_deaths": _with(_feed_run_deaths_sql(), scored=_daily_scored_sql(), flagged=_FLAGGED),
         "feed_run_flags": _with(
             f"SELECT {_FLAG_ID}, * EXCLUDE (snapshot_date) FROM flagged", scored=_daily_scored_sql(), flagged=_FLAGGED

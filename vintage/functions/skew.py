@@ -81,11 +81,14 @@ def with_versions(
     order: tuple[str, ...],
     value: str,
     hot_rows: int = HOT_ROWS,
+    newest_first: bool = False,
 ) -> DataFrame:
     """Add ``version_number`` and ``previous_value`` of ``value`` per group of ``keys``.
 
-    Every copy of a row is a version of its own, in a hot group as in any other.
+    Every copy of a row is a version of its own, in a hot group as in any other. ``newest_first`` numbers
+    from the last version, whose number is 1; the previous value is then that of the version after it.
     """
+    order = _descending(order) if newest_first else _ascending(order)
     hot = hot_groups(df, keys, hot_rows)
     if hot is None:
         return _numbered(df, keys, order, value)
@@ -101,9 +104,13 @@ def _ascending(order: tuple[str, ...]) -> list:
     return [F.col(c).asc_nulls_last() for c in order]
 
 
+def _descending(order: tuple[str, ...]) -> list:
+    return [F.col(c).desc_nulls_first() for c in order]
+
+
 def _numbered(df: DataFrame, keys, order, value) -> DataFrame:
     # Both functions share one specification: one exchange, one sort, one pass.
-    versions = Window.partitionBy(*keys).orderBy(*_ascending(order))
+    versions = Window.partitionBy(*keys).orderBy(*order)
     return df.select(
         "*",
         F.row_number().over(versions).cast("bigint").alias("version_number"),
@@ -116,7 +123,7 @@ def _numbered_in_slices(df: DataFrame, keys, order, value, slices: int, small: b
     # A number per copy, so that copies too can fall into several slices. Range bounds are drawn from
     # the data, so the number and the slice of a row must be fixed before they are used.
     rows = pin(df.withColumn("_copy", F.monotonically_increasing_id()))
-    in_order = [*_ascending(order), F.col("_copy")]
+    in_order = [*order, F.col("_copy")]
     sliced = pin(
         rows.repartitionByRange(slices, *[F.col(k) for k in keys], *in_order).withColumn(
             "_slice", F.spark_partition_id()

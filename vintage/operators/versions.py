@@ -33,6 +33,24 @@ def latest_as_of(
     return latest(df.where(F.col(version_cols[0]) <= ntz(t)), keys, version_cols)
 
 
+def validity(
+    df: DataFrame, keys: tuple[str, ...], version_cols: tuple[str, ...], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Every version with ``valid_to``, the time at which the next one of its group came; null for the last.
+
+    A version holds from its first version column, the ingest time, until just before ``valid_to``. Of
+    versions of one time only the last ever holds.
+    """
+    numbered = with_versions(df, keys, version_cols, version_cols[0], hot_rows, newest_first=True)
+    return numbered.select(*df.columns, F.col("previous_value").alias("valid_to"))
+
+
+def valid_at(df: DataFrame, version_cols: tuple[str, ...], t: datetime | str) -> DataFrame:
+    """``latest_as_of`` from stored validity: two comparisons that reach the scan, no ranking."""
+    held = (F.col(version_cols[0]) <= ntz(t)) & (F.col("valid_to").isNull() | (F.col("valid_to") > ntz(t)))
+    return df.where(held).drop("valid_to")
+
+
 def revision_history(
     df: DataFrame,
     keys: tuple[str, ...],

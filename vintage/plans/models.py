@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +14,7 @@ from vintage.feeds import ACTIVITY, ACTIVITY_LEVELS, DEATHS, Feed
 from vintage.functions.columns import surrogate_key, utc_now
 from vintage.operators.rules import accepted_failures, null_failures, unique_failures
 from vintage.operators.upsert import overwrite, writer_session
-from vintage.operators.versions import latest, revision_history
+from vintage.operators.versions import latest, revision_history, valid_at, validity
 from vintage.schemas import PERIOD_KEYS, VERSION, Layers
 from vintage.sources.ledger import only_passed, passed_runs
 
@@ -164,6 +164,49 @@ def _publish_modelled(reported: DataFrame, names: dict[str, str], scope: Column
         _publish(_by_period(found), names["fct_revision_history"], _PERIOD, found.select(*_PERIOD).distinct(), scope)
 
 
+#: A mart of its own, built on demand and kept up to date afterwards: every version with the time it held.
+VALIDITY = "fct_cases_validity"
+
+
+def validity_name(spark: SparkSession, layers: Layers) -> str:
+    return relation_name(layers.marts, VALIDITY, spark.catalog.currentDatabase())
+
+
+def _publish_validity(reported: DataFrame, table: str, scope: Column | None = None) -> None:
+    # Within a period by ingest time: an as-of skips the row groups of later versions.
+    held = validity(reported, PERIOD_KEYS, VERSION).hint("rebalance", *_PERIOD).sortWithinPartitions(*_PERIOD, *VERSION)
+    _publish(held, table, _PERIOD, reported.select(*_PERIOD).distinct(), scope)
+
+
+def build_validity(spark: SparkSession, layers: Layers = Layers()) -> str:
+    """Build the validity mart from the as-reported fact; ``build_models`` and ``refresh_models`` keep it from then on."""
+    table = validity_name(spark, layers)
+    reported = writer_session(spark).table(_names(spark, layers)["fct_cases_as_reported"])
+    _ensure(validity(reported, PERIOD_KEYS, VERSION), table, _PERIOD)
+    _publish_validity(reported, table)
+    spark.catalog.refreshTable(table)
+    return table
+
+
+def _keep_validity(spark: SparkSession, reported: DataFrame, layers: Layers, scope: Column | None = None) -> None:
+    if spark.catalog.tableExists(table := validity_name(spark, layers)):
+        _publish_validity(reported, table, scope)
+        spark.catalog.refreshTable(table)
+
+
+def as_of(
+    spark: SparkSession, t: datetime | str, layers: Layers = Layers(), periods: tuple[date, date] | None = None
+) -> DataFrame:
+    """The latest version known at ``t``, of the periods from the first to the second one if they are given.
+
+    Reads the validity mart: rows are picked by their interval, directories by their period.
+    """
+    held = spark.table(validity_name(spark, layers))
+    if periods is not None:
+        held = held.where(F.col("snapshot_date").between(*map(F.lit, periods)))
+    return valid_at(held, VERSION, t)
+
+
 def _publish_dimension(deaths: DataFrame, activity: DataFrame, table: str) -> None:
     # Without partitions an overwrite empties the table first; the job after that only copies a few rows.
     with _staged(dimension([deaths, activity], "state", "state_key"), table) as found:
@@ -226,6 +269,7 @@ def build_models(spark: SparkSession, layers: Layers = Layers(), gated: bool = F
         _ensure(latest_fact(reported), names["fct_cases_latest"], _PERIOD)
         _ensure(revisions(reported, DEATHS.metric), names["fct_revision_history"], _PERIOD)
         _publish_modelled(reported, names)
+        _keep_validity(spark, reported, layers)
         _ensure(dimension([deaths, activity], "state", "state_key"), names["dim_state"])
         _publish_dimension(deaths, activity, names["dim_state"])
     create_views(spark, layers)
@@ -253,6 +297,7 @@ def refresh_models(spark: SparkSession, runs: list[str], layers: Layers = Layers
     with _refreshed(spark, names):
         _publish_reported(deaths, table, mine)
         _publish_modelled(session.table(table).where(held), names, held)
+        _keep_validity(spark, session.table(table).where(held), layers, held)
         if shrinks:
             _publish_dimension(*staging, names["dim_state"])
         else:
