@@ -107,9 +107,9 @@ class Encoder:
         ]
         self.pairs = PairTable(*np.array(pairs, np.int64).reshape(-1, 3).T)
         self.pair_rank = {(a, b): c for a, b, c in pairs}
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known = _Known()
         self.known_ids = np.empty(0, np.int32)
         self.known_ends = np.zeros(1, np.int64)  # piece k has the ids from known_ends[k] to known_ends[k + 1]
@@ -223,7 +223,7 @@ class Encoder:
     def _lookup(self, split: list[list[str]]) -> Iterator[tuple[np.ndarray, str]]:
         """Ids and text of each list of pieces."""
         if len(self.known) > CACHED:
-            self._forget()
+            self.forget()
         at = [list(map(self.known.__getitem__, pieces)) for pieces in split]
         self._learn()
         places = np.fromiter(chain.from_iterable(at), np.int64)
@@ -271,20 +271,23 @@ def encode(df: DataFrame, carry: list[str], path: str, pattern: str, with_ids: b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path, pattern)
-        for batch in batches:
-            counts, digests, decoded, flat, offsets = [], [], [], [], [0]
-            for ids, line in bpe.encode(batch.column(1).to_pylist()):
-                counts.append(len(ids))
-                digests.append(hashlib.sha256(line.encode()).hexdigest())
-                decoded.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+        try:
+            for batch in batches:
+                counts, digests, decoded, flat, offsets = [], [], [], [], [0]
+                for ids, line in bpe.encode(batch.column(1).to_pylist()):
+                    counts.append(len(ids))
+                    digests.append(hashlib.sha256(line.encode()).hexdigest())
+                    decoded.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+                    if with_ids:
+                        flat.append(ids)
+                        offsets.append(offsets[-1] + len(ids))
+                columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
                 if with_ids:
-                    flat.append(ids)
-                    offsets.append(offsets[-1] + len(ids))
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
-            if with_ids:
-                values = np.concatenate(flat) if flat else np.empty(0, np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+                    values = np.concatenate(flat) if flat else np.empty(0, np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+        finally:
+            bpe.forget()  # the worker stays for other tasks, of other stages too
 
     return rows.mapInArrow(run, T.StructType(fields))
 
