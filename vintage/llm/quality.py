@@ -185,7 +185,7 @@ def _posteriors(share: list[float], chance: list[list[float]], pattern: str) ->
 
 def judge(df: DataFrame, carry: list[str], text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The ``carry`` columns as ``row``, the counts, ``p_good``, ``base_failed`` and ``kept`` per row of ``df``."""
-    table = stage(counted(df, F.col(f"`{text}`"), packed(df, carry)).withColumn("votes", votes()))
+    table = stage(counted(df, F.col(f"`{text}`"), packed(df, carry)).withColumn("votes", votes()), "zstd")
     patterns = {r["votes"]: r["count"] for r in table.groupBy("votes").count().collect()}
     posterior = inline(df.sparkSession, "of, p_good", sorted(fit(patterns).items()) or [("", 0.0)])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))

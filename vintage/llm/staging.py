@@ -23,10 +23,14 @@ def scratch(spark: SparkSession) -> str:
     return f"{folder}/{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet and read again: lineage is cut and later reads see the same rows."""
+def stage(df: DataFrame, codec: str | None = None) -> DataFrame:
+    """``df`` written as Parquet and read again: lineage is cut and later reads see the same rows.
+
+    The session's codec is taken by default. Snappy holds buffers outside the heap for every column of every
+    file until the next collection; ``zstd`` does not, which tells where tasks write many columns.
+    """
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
