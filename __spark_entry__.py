@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from vintage.feeds import ACTIVITY, ACTIVITY_LEVELS, DEATHS, Feed
 from vintage.functions.columns import lower_columns, ntz
 from vintage.functions.skew import with_versions
-from vintage.operators import anomaly, filters, paging, rules, versions
+from vintage.operators import anomaly, filters, paging, rules, upsert, versions
 from vintage.plans import feed_run, models
 from vintage.schemas import KEYS, PERIOD_KEYS, VERSION, Layers, create_tables
 from vintage.session import shared_dir
@@ -437,6 +437,13 @@ def upsert_activity(spark, sf_dir):
     return _upserted(spark, sf_dir, ACTIVITY, _activity(spark, sf_dir))
 
 
+def upsert_outcomes(spark, sf_dir):
+    """What an upsert of all later rows makes of each of them and of each row stored before."""
+    rows = _reports(spark, sf_dir)
+    stored = rows.where((F.col("ingested_at") < ntz(CUT)) & (F.col("event_id") % 3 > 0))
+    return upsert.outcomes(stored, rows.where(F.col("ingested_at") >= ntz(CUT))).select("event_id", *KEYS, "outcome")
+
+
 _LOG_COLUMNS = ("run_id", "pipeline_name", "stage", "status", "row_count_in", "row_count_out")
 
 
@@ -644,6 +651,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_gated": stream_gated,
         "upsert_deaths": upsert_deaths,
         "upsert_activity": upsert_activity,
+        "upsert_outcomes": upsert_outcomes,
         "run_log_rows": run_log_rows,
         "empty_batch": empty_batch,
         "failure_alerts": failure_alerts,
@@ -1071,6 +1079,15 @@ def core_oracles() -> dict[str, str]:
         "stream_gated": _with(_gated_sql().lstrip(), faulty=FAULTY).replace(") , marked", "), marked", 1),
         "upsert_deaths": _upsert_sql("reports", _DEATHS_COLUMNS),
         "upsert_activity": _upsert_sql("activity", _ACTIVITY_COLUMNS),
+        "upsert_outcomes": _with(f"""
+            SELECT event_id, run_id, snapshot_date, state,
+                   CASE WHEN state IS NULL THEN CASE WHEN new THEN 'added' ELSE 'kept' END
+                        WHEN news > 1 AND olds > 0 THEN 'ambiguous'
+                        WHEN new THEN CASE WHEN olds > 0 THEN 'replacing' ELSE 'added' END
+                        WHEN news > 0 THEN 'replaced' ELSE 'kept' END AS outcome
+            FROM (SELECT *, count(*) FILTER (new) OVER w AS news, count(*) FILTER (NOT new) OVER w AS olds
+                  FROM (SELECT *, ingested_at >= TIMESTAMP '{CUT}' AS new FROM reports) WHERE new OR event_id % 3 > 0
+                  WINDOW w AS (PARTITION BY run_id, snapshot_date, state))"""),
         "run_log_rows": _load_log("run_all", DEATHS.pipeline, "events", extract="success", load="success"),
         "empty_batch": _with("""
             SELECT cast(count(*) AS int) AS row_count_in, cast(count(*) AS int) AS row_count_out,

@@ -6,7 +6,7 @@ from helpers import plan, tuples
 from pyspark.sql import functions as F
 
 from vintage.feeds import ACTIVITY, DEATHS
-from vintage.operators.upsert import AmbiguousMatch, merge_rows
+from vintage.operators.upsert import AmbiguousMatch, merge_rows, outcomes, upsert_table
 from vintage.sources.load import EMPTY_LOAD, load_batch
 
 DAY = date(2026, 9, 1)
@@ -151,3 +151,35 @@ def test_only_touched_partitions_are_read(spark, layers):
     load(spark, layers, record(run="run_1"))
     df = spark.table(layers.raw_table(DEATHS)).where(F.col("run_id").isin(["run_2"]))
     assert re.search(r"PartitionFilters: \[[^]]*run_id#\d+ = run_2", plan(df)) and df.isEmpty()
+
+
+@pytest.mark.parametrize("hot_rows", [40, 10**6])
+def test_every_row_has_one_outcome(spark, hot_rows):
+    """Against a loop over keys: copies on either side, nulls in keys, a key that a third of the rows share."""
+    old = [("r", DAY, s, f"old{i}") for i, s in enumerate(["hot"] * 60 + ["a", "b", "b", "c", "d", None, None])]
+    new = [("r", DAY, s, f"new{i}") for i, s in enumerate(["hot", "a", "b", "x", "x", "c", "c", None] + [f"n{k}" for k in range(50)])]
+    schema = "run_id string, snapshot_date date, state string, v string"
+    found = outcomes(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema), hot_rows=hot_rows)
+    expected = []
+    for rows, other, unmet, met in ((old, new, "kept", "replaced"), (new, old, "added", "replacing")):
+        for r in rows:
+            olds, news = (sum(o[2] == r[2] for o in side) * (r[2] is not None) for side in (old, new))
+            other_side = news if rows is old else olds
+            expected.append((r[3], "ambiguous" if news > 1 and olds else met if other_side else unmet))
+    assert tuples(found, "v", "outcome") == sorted(expected, key=repr)
+
+
+def test_a_reload_reads_the_target_once_and_shuffles_it_once(spark, layers):
+    load(spark, layers, record(), record(state="Texas"))
+    target = spark.table(layers.raw_table(DEATHS))
+    text = plan(merge_rows(target, target.withColumn("state", F.concat("state", F.lit("x")))))
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
+def test_upsert_counts_outcomes(spark, layers):
+    load(spark, layers, record(), record(state="Texas"), record(state="Utah"), record(state=None))
+    table = f"{layers.raw}.batch_of_three"
+    batch(spark, record(deaths=1), record(state="Ohio"), record(state=None)).write.saveAsTable(table)
+    counts = upsert_table(spark, layers.raw_table(DEATHS), table)
+    assert counts == {"kept": 3, "replaced": 1, "replacing": 1, "added": 2}
+    assert len(stored(spark, layers)) == 6
