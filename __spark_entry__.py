@@ -23,7 +23,7 @@ from vintage.operators import anomaly, filters, paging, rules, upsert, versions
 from vintage.plans import feed_run, models
 from vintage.schemas import KEYS, PERIOD_KEYS, VERSION, Layers, create_tables
 from vintage.session import shared_dir
-from vintage.sources import landing, ledger
+from vintage.sources import landing, ledger, volumes
 from vintage.sources.load import load_batch
 from vintage.streaming import gated
 from vintage.streaming.ingest import stream_ingest
@@ -516,8 +516,8 @@ def materialize_models(spark, sf_dir):
     layers = _layers(spark)
     _append(_reports(spark, sf_dir), DEATHS, layers)
     _append(_activity(spark, sf_dir), ACTIVITY, layers)
-    log = ledger.with_log_id(_logs(spark, sf_dir))
-    log.select(*spark.table(layers.run_log).columns).write.insertInto(layers.run_log)
+    ledger.append_log(ledger.with_log_id(_logs(upsert.writer_session(spark), sf_dir)), layers)
+    volumes.refresh(spark, layers.run_log)
     built = models.build_models(spark, layers)
     layer_of = dict(zip(layers.databases(), ("raw", "staging", "marts", "observability")))
     counts = None

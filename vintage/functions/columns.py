@@ -91,6 +91,12 @@ def ntz(moment: datetime | str) -> Column:
     return F.lit(moment).cast("timestamp_ntz")
 
 
+def unescaped_partition(shown: str | Column, column: str) -> Column:
+    """The value of one column in a line of SHOW PARTITIONS."""
+    value = F.regexp_extract(_col(shown), rf"(?:^|/){column}=([^/]*)", 1)
+    return F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+
+
 def join_on_equal_or_null(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str, small: bool = False) -> DataFrame:
     """Join in which two null keys are equal; the keys of ``right`` are not repeated in the result.
 

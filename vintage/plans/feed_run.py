@@ -15,7 +15,7 @@ from vintage.operators.rules import ValidationFailed, require_success, sample_vi
 from vintage.operators.upsert import writer_session
 from vintage.schemas import Layers
 from vintage.sources.landing import read_landing, string_fields, typed_rows
-from vintage.sources.ledger import logged_stage, pending_runs, write_anomaly_flags
+from vintage.sources.ledger import compact_log, logged_stage, pending_runs, write_anomaly_flags
 from vintage.sources.load import load_batch
 from vintage.sources.statistics import history_stats
 
@@ -129,6 +129,7 @@ def run_feed(
         log = spark.table(layers.run_log)
         runs = pending_runs(log, feed.pipeline, "validate", "anomaly_detection", retry_failed=True)
         scored = {r: score_run(spark, feed, r, layers) for r in runs}
+    compact_log(spark, layers)
     if failed:
         raise ValidationFailed("; ".join(map(str, failed)), [row for e in failed for row in e.failures])
     return {

@@ -105,10 +105,12 @@ def raw_ddl(feed: Feed) -> str:
 def create_tables(spark: SparkSession, layers: Layers = Layers(), location: str | None = None) -> None:
     """Create databases and tables that do not exist yet.
 
-    All are partitioned by run: a run is what a load replaces, what validation reads and what
-    detection excludes, and writers of different runs do not get in each other's way. The log is
-    partitioned by pipeline first, which is how it is read.
+    Tables are partitioned by run: a run is what a load replaces, what validation reads and what
+    detection excludes, and writers of different runs do not get in each other's way. The log is only
+    appended to, so it is kept in volumes, by pipeline, which is how it is read.
     """
+    from vintage.sources import volumes  # which needs the key columns of this module
+
     for db in layers.databases():
         where = f" LOCATION '{location}/{db}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
@@ -118,9 +120,9 @@ def create_tables(spark: SparkSession, layers: Layers = Layers(), location: str
             "USING parquet PARTITIONED BY (run_id)"
         )
     tables = (
-        (layers.run_log, RUN_LOG_DDL, "pipeline_name, run_id"),
         (layers.flags, FLAGS_DDL, "run_id"),
         (layers.statistics, STATISTICS_DDL, "source, run_id"),
     )
     for table, ddl, by in tables:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet PARTITIONED BY ({by})")
+    volumes.create(spark, layers.run_log, RUN_LOG_DDL, "pipeline_name")

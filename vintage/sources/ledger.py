@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from vintage.functions.columns import ntz, surrogate_key, utc_now
 from vintage.operators.filters import for_run
-from vintage.operators.upsert import overwrite, replace_partitions, writer_session
+from vintage.operators.upsert import replace_partitions, writer_session
 from vintage.schemas import Layers
+from vintage.sources import volumes
 
 
 def run_log_row(
@@ -45,16 +46,14 @@ def with_log_id(rows: DataFrame) -> DataFrame:
     return rows.select(log_id.alias("log_id"), "*")
 
 
-def append_log(row: DataFrame, run_id: str, pipeline: str, layers: Layers) -> None:
-    """Add a row to the log of one run; ``row`` must come from a ``writer_session``.
+def append_log(rows: DataFrame, layers: Layers) -> None:
+    """Add rows to the log; ``rows`` must come from a ``writer_session``. Writers do not meet, see ``volumes``."""
+    volumes.append(rows, layers.run_log)
 
-    The run's partition is written anew with the row added. A plain append would share its working
-    folder with the appends of other runs, and whichever finished first would remove it. Pipelines
-    are partitions too, so a feed that looks for its own runs opens no file another feed may replace.
-    """
-    session = row.sparkSession
-    before = for_run(session.table(layers.run_log), run_id).where(F.col("pipeline_name") == F.lit(pipeline))
-    overwrite(before.unionByName(row).coalesce(1), layers.run_log)
+
+def compact_log(spark: SparkSession, layers: Layers = Layers(), fan: int = volumes.FAN) -> int:
+    """Merge the log's small files where enough have come together; returns the number of merges."""
+    return volumes.compact(spark, layers.run_log, "pipeline_name", fan)
 
 
 @contextmanager
@@ -77,8 +76,8 @@ def logged_stage(spark: SparkSession, layers: Layers, run_id: str, pipeline: str
             row = run_log_row(
                 session, run_id, pipeline, stage, status, **counts, duration_ms=duration_ms, error_message=error
             )
-            append_log(row, run_id, pipeline, layers)
-            spark.catalog.refreshTable(layers.run_log)
+            append_log(row, layers)
+            volumes.refresh(spark, layers.run_log)
 
 
 def write_anomaly_flags(flags: DataFrame, run_id: str, layers: Layers) -> int:

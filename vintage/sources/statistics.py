@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.feeds import Feed
+from vintage.functions.columns import unescaped_partition
 from vintage.operators.anomaly import merged_stats, run_stats
 from vintage.operators.filters import other_runs
 from vintage.operators.upsert import overwrite, writer_session
@@ -38,8 +39,7 @@ def keep_runs(spark: SparkSession, feed: Feed, runs: list[str], layers: Layers)
 
 def _runs(session: SparkSession, table: str) -> DataFrame:
     """The runs of a table partitioned by run, from the catalog: no file is opened."""
-    shown = session.sql(f"SHOW PARTITIONS {table}").select(F.substring_index("partition", "run_id=", -1).alias("name"))
-    return shown.select(F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B"))).alias("run_id"))
+    return session.sql(f"SHOW PARTITIONS {table}").select(unescaped_partition("partition", "run_id").alias("run_id"))
 
 
 def history_stats(session: SparkSession, feed: Feed, run_id: str, layers: Layers) -> DataFrame:

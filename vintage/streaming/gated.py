@@ -26,8 +26,9 @@ from vintage.operators.rules import Rule, judged, validate
 from vintage.operators.upsert import overwrite, replace_partitions, writer_session
 from vintage.plans.feed_run import detect_anomalies
 from vintage.schemas import BATCHES_DDL, QUARANTINE_DDL, REQUIRED, Layers
+from vintage.sources import volumes
 from vintage.sources.landing import payload_field, stream_landing, string_fields, typed_rows
-from vintage.sources.ledger import run_log_row
+from vintage.sources.ledger import append_log, compact_log, run_log_row
 from vintage.sources.statistics import forget_runs, keep_runs
 from vintage.streaming.ingest import batch_run_id
 
@@ -149,8 +150,10 @@ def _admit(spark, feed, staging, batch_id, run_id, layers, rules, now, started,
         )
         for stage, (a, b) in stages.items()
     ]
-    # One write of all stages: a batch that is played again does not log them twice.
-    overwrite(reduce(DataFrame.unionByName, rows).coalesce(1), layers.run_log)
+    # One append of all stages, unless an attempt that stopped after it has made it: they are not logged twice.
+    logged = session.table(layers.run_log).where((F.col("pipeline_name") == feed.pipeline) & (F.col("run_id") == run_id))
+    if logged.where("stage = 'load'").isEmpty():
+        append_log(reduce(DataFrame.unionByName, rows), layers)
     entry = session.range(1, numPartitions=1).select(
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         F.lit(status).alias("status"),
@@ -162,8 +165,8 @@ def _admit(spark, feed, staging, batch_id, run_id, layers, rules, now, started,
         F.lit(run_id).alias("run_id"),
     )
     overwrite(entry, layers.batches)
-    for table in (layers.run_log, layers.batches):
-        spark.catalog.refreshTable(table)
+    spark.catalog.refreshTable(layers.batches)
+    volumes.refresh(spark, layers.run_log)
     return status
 
 
@@ -192,6 +195,7 @@ def gated_ingest(
         .start()
     )
     query.awaitTermination()
+    compact_log(spark, layers)
     return query
 
 
