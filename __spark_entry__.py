@@ -44,6 +44,8 @@ STAMP = "2024-02-01 06:00:00"
 FRESH_AS_OF = date(2024, 2, 13)
 BACKFILL_TO = date(2024, 1, 20)
 METRIC = DEATHS.metric
+#: The value of a day when its feed is sent again.
+RESENT = "CASE WHEN user_id % 10 = 3 THEN total + 7 ELSE total END"
 AS_OF_TIMES = {AS_OF: None, CUT: None, "2024-01-28 00:00:00": (date(2024, 1, 10), BACKFILL_TO)}
 
 # --- views over events ---
@@ -582,6 +584,45 @@ def feed_run_flags(spark, sf_dir):
     return _rounded(flags, "expected_range_low", "expected_range_high", "z_score")
 
 
+def _daily_records(spark, sf_dir, total: str, total_deaths: str = "n") -> DataFrame:
+    """A record per day and user; ``total`` is the value reported, ``total_deaths`` what is added to it."""
+    return _view(spark, sf_dir, DAILY).selectExpr(
+        "cast(day AS string) || 'T00:00:00.000' AS week_ending_date",
+        "'u' || cast(user_id AS string) AS state",
+        f"cast({total} AS string) AS covid_19_deaths",
+        f"cast({total} + {total_deaths} AS string) AS total_deaths",
+    )
+
+
+def resent_feed(spark, sf_dir):
+    """A feed that is sent in full three times: with every tenth value revised, then as it was the second time."""
+    layers = _layers(spark)
+    feed = replace(DEATHS, sentinel=None)
+    versions_sent = (("run_first", "total", CUT), ("run_again", RESENT, STAMP), ("run_same", RESENT, "2024-02-08 06:00:00"))
+    for run_id, total, now in versions_sent:
+        folder = _land(spark, _daily_records(spark, sf_dir, total))
+        feed_run.run_feed(spark, feed, folder, layers, run_id=run_id, now=now, lookback_days=400, changes_only=True)
+    return spark.table(layers.raw_table(feed)).drop("raw_payload")
+
+
+def feed_run_reload(spark, sf_dir):
+    """A run that fails its rules, loaded again under its name with values that pass: log, then stored rows."""
+    layers = _layers(spark)
+    feed = replace(DEATHS, sentinel=None)
+    for total_deaths, now in (("CASE WHEN user_id % 20 = 3 THEN -1 ELSE n END", CUT), ("n", STAMP)):
+        folder = _land(spark, _daily_records(spark, sf_dir, "total", total_deaths))
+        try:
+            feed_run.run_feed(spark, feed, folder, layers, run_id="run_once", now=now, lookback_days=400)
+        except rules.ValidationFailed:
+            pass  # the log rows returned below show the stop
+    stored = spark.table(layers.raw_table(feed)).agg(
+        F.lit("stored"), F.concat(F.lit("at "), F.max("ingested_at").cast("string")), F.count(F.lit(1)), F.count_if(F.col("total_deaths") < F.col("covid_19_deaths")),
+    )
+    return _daily_log(spark, layers).drop("run_id", "pipeline_name").unionByName(
+        stored.toDF("stage", "status", "row_count_in", "row_count_out")
+    )
+
+
 def feed_run_activity(spark, sf_dir):
     """A run whose levels are not all accepted: loaded, then stopped at the gate."""
     layers = _layers(spark)
@@ -663,6 +704,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feed_run_deaths": feed_run_deaths,
         "feed_run_flags": feed_run_flags,
         "feed_run_activity": feed_run_activity,
+        "feed_run_reload": feed_run_reload,
+        "resent_feed": resent_feed,
     }
 
 
@@ -1117,4 +1160,16 @@ def core_oracles() -> dict[str, str]:
         "feed_run_activity": _with(_load_log(
             "run_weekly", ACTIVITY.pipeline, "daily", extract="success", load="success", validate="failure"
         )),
+        # The only run has no history, so nothing is flagged.
+        "feed_run_reload": _with(f"""
+            SELECT stage, status, n AS row_count_in, CASE WHEN status = 'success' AND stage <> 'anomaly_detection' THEN n ELSE 0 END AS row_count_out
+            FROM (SELECT count(*) AS n FROM daily), (VALUES ('extract', 'success'), ('load', 'success'), ('validate', 'failure'),
+                ('extract', 'success'), ('load', 'success'), ('validate', 'success'), ('anomaly_detection', 'success')) AS l(stage, status)
+            UNION ALL SELECT 'stored', 'at {STAMP}', count(*), 0 FROM daily"""),
+        "resent_feed": _with(f"""
+            SELECT run_id, day AS snapshot_date, ingested_at, 'u' || cast(user_id AS varchar) AS state, covid_19_deaths,
+                   cast(covid_19_deaths + n AS bigint) AS total_deaths, cast(NULL AS bigint) AS pneumonia_deaths,
+                   cast(NULL AS bigint) AS pneumonia_and_covid_19_deaths, cast(NULL AS bigint) AS influenza_deaths
+            FROM (SELECT *, 'run_first' AS run_id, TIMESTAMP '{CUT}' AS ingested_at, total AS covid_19_deaths FROM daily
+                  UNION ALL SELECT *, 'run_again', TIMESTAMP '{STAMP}', {RESENT} FROM daily WHERE {RESENT} <> total)"""),
     }

@@ -14,6 +14,7 @@ from vintage.operators.filters import for_run, last_period, newer_than
 from vintage.operators.rules import ValidationFailed, require_success, sample_violations, validate
 from vintage.operators.upsert import writer_session
 from vintage.schemas import Layers
+from vintage.sources.digests import changed_rows, create_digests, keep_digests
 from vintage.sources.landing import read_landing, string_fields, typed_rows
 from vintage.sources.ledger import compact_log, logged_stage, pending_runs, write_anomaly_flags
 from vintage.sources.load import load_batch
@@ -92,6 +93,14 @@ def score_run(spark: SparkSession, feed: Feed, run_id: str, layers: Layers = Lay
     return counts["row_count_out"]
 
 
+def _digest_passed(spark: SparkSession, feed: Feed, layers: Layers) -> None:
+    """Keep the digests of runs that passed validation since this was done last."""
+    for run_id in pending_runs(spark.table(layers.run_log), feed.pipeline, "validate", "digests", retry_failed=True):
+        with logged_stage(spark, layers, run_id, feed.pipeline, "digests") as counts:
+            rows = keep_digests(spark, feed, run_id, layers)
+            counts.update(row_count_in=rows, row_count_out=rows)
+
+
 def run_feed(
     spark: SparkSession,
     feed: Feed,
@@ -103,12 +112,16 @@ def run_feed(
     lookback_days: int = 0,
     modified_after: str | None = None,
     period_dir: str | None = None,
+    changes_only: bool = False,
 ) -> dict:
     """Load what is newer than the high-water mark, validate it, then flag its outliers.
 
     Where the landing folder has a folder per period, named by ``period_dir``, those up to the mark (less
     ``lookback_days``) are not opened; the rows are the same.
 
+    With ``changes_only`` a record that is read again is loaded only if it differs from the value that the last
+    run that passed stored for its period and state, so a feed that is sent in full adds its revisions alone.
+
     Runs that an interruption left unvalidated or unscored are caught up on. Repeating a run under
     the same ``run_id`` replaces its rows. The result maps run ids to row counts and flag counts.
     """
@@ -116,7 +129,12 @@ def run_feed(
     mark = last_period(spark.table(layers.raw_table(feed)), feed.sentinel)
     after = mark and mark - timedelta(days=lookback_days)
     records = read_landing(spark, landing, layout, modified_after, period_dir, after)
-    load = load_batch(spark, feed, ingest(records, feed, mark, run_id, now, lookback_days), run_id, layers)
+    batch = ingest(records, feed, mark, run_id, now, lookback_days)
+    if changes_only:
+        create_digests(spark, layers)
+        _digest_passed(spark, feed, layers)
+        batch = changed_rows(spark, feed, batch, layers)
+    load = load_batch(spark, feed, batch, run_id, layers)
     log = spark.table(layers.run_log)
     checked, failed = {}, []
     for pending in pending_runs(log, feed.pipeline, "load", "validate"):
@@ -124,6 +142,8 @@ def run_feed(
             checked[pending] = check_run(spark, feed, pending, layers)
         except ValidationFailed as e:  # an older run must not keep this one from being judged
             failed.append(e)
+    if changes_only:
+        _digest_passed(spark, feed, layers)
     scored = {}
     if feed.metric:
         log = spark.table(layers.run_log)

@@ -34,6 +34,9 @@ STATISTICS_DDL = (
     "squares double, low double, high double"
 )
 
+DIGESTS = "content_digests"
+DIGESTS_DDL = "state string, digest string, ingested_at timestamp_ntz, run_id string, source string, snapshot_date date"
+
 BATCHES = "batch_ledger"
 BATCHES_DDL = (
     "batch_id bigint, status string, row_count_in bigint, row_count_passed bigint, row_count_quarantined bigint, "
@@ -73,6 +76,10 @@ class Layers:
     def quarantine(self, feed: Feed) -> str:
         return _within(self.raw, f"{feed.table}_quarantine")
 
+    @property
+    def digests(self) -> str:
+        return _within(self.observability, DIGESTS)
+
     @property
     def batches(self) -> str:
         return _within(self.observability, BATCHES)
