@@ -272,8 +272,8 @@ def rule_pair_ge(spark, sf_dir):
 
 def rule_compound_unique(spark, sf_dir):
     daily = _reports(spark, sf_dir).withColumn("day", F.col("snapshot_date"))
-    checks = [rules.compound_columns_unique(*KEYS), rules.compound_columns_unique("user_id", "day", "state")]
-    return _validated(daily, checks)
+    checks = (rules.compound_columns_unique(*KEYS), rules.compound_columns_unique("user_id", "day", "state"))
+    return _rounded(rules.validate(daily, checks, by_hash=True), "unexpected_percent")
 
 
 def validate_deaths(spark, sf_dir):
@@ -294,14 +294,8 @@ def validation_gate(spark, sf_dir):
 
 def rule_violations(spark, sf_dir):
     """The first violations of every deaths rule, as the suite reports them."""
-    df = _reports(spark, sf_dir)
-    samples = None
-    for i, rule in enumerate(DEATHS.rules):
-        sample = rules.sample_violations(df, rule, ("event_id",)).select(
-            F.lit(i).alias("rule_no"), "event_id", *KEYS, "covid_19_deaths", "total_deaths"
-        )
-        samples = sample if samples is None else samples.unionByName(sample)
-    return samples
+    found = rules.sample_all(_reports(spark, sf_dir), DEATHS.rules, ("event_id",))
+    return found.select("rule_no", "event_id", *KEYS, "covid_19_deaths", "total_deaths")
 
 
 def model_tests(spark, sf_dir):

@@ -3,6 +3,7 @@ from datetime import date
 
 import pytest
 from helpers import plan, tuples
+from pyspark.sql import functions as F
 
 from vintage.feeds import DEATHS
 from vintage.operators import rules
@@ -120,3 +121,35 @@ def test_model_test_counts(spark):
     assert tuples(rules.null_failures(df, ["state", "run_id"])) == [("run_id", "not_null", 0), ("state", "not_null", 2)]
     assert tuples(rules.unique_failures(df, "state")) == [("state", "unique", 1)]
     assert tuples(rules.accepted_failures(df, "state", ("Low",))) == [("state", "accepted_values", 2)]
+
+
+def test_samples_of_all_single_row_rules_come_from_one_scan(spark):
+    df = spark.range(1000).selectExpr("id", "if(id % 7 = 0, null, id) AS a", "cast(id % 50 AS bigint) AS b", "cast(id AS string) AS s")
+    checks = (rules.not_be_null("a"), rules.be_between("b", max_value=40), rules.be_in_set("s", ("1",)), rules.be_between("b", min_value=0))
+    found = rules.sample_all(df, checks, ("id",), 5)
+    for i, rule in enumerate(checks):
+        assert tuples(found.where(f"rule_no = {i}"), *df.columns) == tuples(rules.sample_violations(df, rule, ("id",), 5), *df.columns)
+    text = plan(found)
+    assert text.count("Range (") == 1 and "WindowGroupLimit" in text.split("Exchange")[1]
+
+
+@pytest.mark.parametrize("hot_rows", [100, 10**6])
+def test_uniqueness_survives_colliding_hashes(spark, monkeypatch, hot_rows):
+    """With three hash values for everything, the keys themselves decide; nulls equal each other, sides differ."""
+    key = "if(id % 3 = 0, -1, if(id % 3 = 1, id, null))"
+    df = spark.range(900).selectExpr(f"cast({key} AS string) AS a", "if(id % 2 = 0, null, 'x') AS b").union(
+        spark.createDataFrame([("p", None), (None, "p")], "a string, b string")
+    )
+    expected = (902, 300 + 300)  # -1 and null, each with and without x; the others once
+    assert tuple(rules.duplicate_rows_by_hash(df, ("a", "b"), hot_rows).first()) == expected
+    monkeypatch.setattr(rules, "_key_hash", lambda keys: F.pmod(F.xxhash64(*keys), F.lit(3)))
+    assert tuple(rules.duplicate_rows_by_hash(df, ("a", "b"), hot_rows).first()) == expected
+
+
+def test_uniqueness_shuffles_hashes_instead_of_keys(spark):
+    df = spark.range(1000).selectExpr("repeat(cast(id AS string), 50) AS a", "id AS b")
+    hashes = rules.duplicate_keys(df.withColumn("_hash", rules._key_hash(("a", "b"))), ("_hash",))
+    exchanged = [line for line in plan(hashes).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanged) == 1 and "_hash" in exchanged[0] and "a#" not in exchanged[0]
+    assert rules.repeated_hashes(df, ("a", "b")).count() == 0
+    assert tuple(rules.duplicate_rows_by_hash(df.limit(0), ("a", "b")).first()) == (0, 0)

@@ -6,7 +6,7 @@ import json
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintage.functions.columns import nan_as_null, percent
@@ -138,6 +138,20 @@ def duplicate_keys(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def _key_hash(keys: tuple[str, ...]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def repeated_hashes(df: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows whose key has a 64-bit hash that another row has too: all that can share their key, and few others.
+
+    Only hashes are shuffled to find them. With mostly unique keys, what is left is next to nothing.
+    """
+    hashed = df.withColumn("_hash", _key_hash(keys))
+    again = duplicate_keys(hashed, ("_hash",)).select("_hash")
+    return join_groups(hashed, again, ("_hash",), "left_semi", hot_rows=hot_rows).drop("_hash")
+
+
 def duplicate_rows(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """One row: how many rows there are, and how many of them share their key with another."""
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -147,17 +161,27 @@ def duplicate_rows(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     )
 
 
-def validate(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+def duplicate_rows_by_hash(df: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``duplicate_rows`` in two phases: the keys themselves are compared only where a hash of them repeats.
+
+    Reads the key columns again instead of shuffling them, which pays where keys are wide and mostly unique.
+    """
+    groups = duplicate_rows(repeated_hashes(df.select(*keys), keys, hot_rows), keys).select("unexpected_count")
+    return df.agg(F.count(F.lit(1)).alias("evaluated_count")).crossJoin(groups)
+
+
+def validate(df: DataFrame, rules: tuple[Rule, ...], by_hash: bool = False) -> DataFrame:
     """One row per rule with its counts and verdict; every rule is evaluated, none stops another.
 
-    All rules on single rows share one aggregation; a uniqueness rule adds one grouped count. A NaN
-    counts as missing.
+    All rules on single rows share one aggregation; a uniqueness rule adds one grouped count, of hashes first
+    if ``by_hash`` is set (for wide keys). A NaN counts as missing.
     """
+    count_duplicates = duplicate_rows_by_hash if by_hash else duplicate_rows
     df = nan_as_null(df)
     measures, results = [], []
     for i, rule in enumerate(rules):
         if rule.by_key:
-            counts = duplicate_rows(df.where(rule.evaluated()), rule.columns)
+            counts = count_duplicates(df.where(rule.evaluated()), rule.columns)
             results.append(counts.select(F.lit(i).alias("rule_no"), "evaluated_count", "unexpected_count"))
         else:
             measures += [
@@ -229,6 +253,25 @@ def sample_violations(df: DataFrame, rule: Rule, order: tuple[str, ...], n: int
     return violations(df, rule).orderBy(*order).limit(n)
 
 
+def sample_all(df: DataFrame, rules: tuple[Rule, ...], order: tuple[str, ...], n: int = SAMPLE_SIZE) -> DataFrame:
+    """The first ``n`` violations in ``order`` of every rule, with the rule's position in ``rule_no``.
+
+    Rules on single rows share one scan. It keeps the ``n`` smallest rows of each rule in a task before
+    anything is shuffled.
+    """
+    single = [F.when(rule.unexpected(), F.lit(i)) for i, rule in enumerate(rules) if not rule.by_key]
+    parts = []
+    if single:
+        broken = nan_as_null(df).withColumn("rule_no", F.explode(F.array_compact(F.array(*single))))
+        in_order = Window.partitionBy("rule_no").orderBy(*order)
+        ranked = broken.withColumn("_rank", F.row_number().over(in_order)).where(F.col("_rank") <= n)
+        parts.append(ranked.select("rule_no", *df.columns))
+    for i, rule in enumerate(rules):
+        if rule.by_key:
+            parts.append(sample_violations(df, rule, order, n).select(F.lit(i).alias("rule_no"), *df.columns))
+    return reduce(DataFrame.unionByName, parts)
+
+
 class ValidationFailed(ValueError):
     """Raised by the gate; ``failures`` holds the result rows of the broken rules."""
 

@@ -11,7 +11,7 @@ from vintage.feeds import Feed
 from vintage.functions.columns import new_run_id, utc_now
 from vintage.operators.anomaly import anomaly_flags, current_run, outliers, scores
 from vintage.operators.filters import for_run, last_period, newer_than
-from vintage.operators.rules import ValidationFailed, require_success, sample_violations, validate
+from vintage.operators.rules import ValidationFailed, require_success, sample_all, validate
 from vintage.operators.upsert import writer_session
 from vintage.schemas import Layers
 from vintage.sources.digests import changed_rows, create_digests, keep_digests
@@ -43,16 +43,14 @@ def validate_run(spark: SparkSession, feed: Feed, run_id: str, layers: Layers =
         return {"success": True, "row_count": 0, "failed_expectations": 0, "failure_details": [], "results": []}
     # One row per rule.
     results = validate(rows, feed.rules).orderBy("rule_no").collect()
-    details = [
-        {
-            **row.asDict(),
-            "partial_unexpected_list": [
-                v.asDict() for v in sample_violations(rows, feed.rules[row["rule_no"]], feed.validated_columns).collect()
-            ],
-        }
-        for row in results
-        if not row["success"]
-    ]
+    failed = [row for row in results if not row["success"]]
+    details = []
+    if failed:
+        broken = tuple(feed.rules[row["rule_no"]] for row in failed)
+        samples = sample_all(rows, broken, feed.validated_columns).orderBy("rule_no", *feed.validated_columns).collect()
+        for i, row in enumerate(failed):
+            mine = [{c: v[c] for c in feed.validated_columns} for v in samples if v["rule_no"] == i]
+            details.append({**row.asDict(), "partial_unexpected_list": mine})
     return {
         "success": not details,
         "row_count": row_count,
