@@ -361,6 +361,17 @@ def page_deep(spark, sf_dir):
     return paging.page(keys, ("o_orderdate", "o_orderkey"), 100, 2, slice_rows=200)
 
 
+def page_indexed(spark, sf_dir):
+    """Several pages of a stored order: the first, one across the end of the null dates, a later and the last one."""
+    dated = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate"))
+    rows = _table(spark, sf_dir, "orders").select(dated.alias("o_orderdate"), "o_orderkey", "o_custkey")
+    path, order = f"{shared_dir(spark)}/pages-{uuid.uuid4().hex[:12]}", ("o_orderdate", "o_orderkey")
+    size, last = 100, (rows.count() - 1) // 100
+    paging.build_pages(rows, order, path, slice_rows=400)
+    pages = [paging.stored_page(spark, path, order, size, n).withColumn("page", F.lit(n).cast("bigint")) for n in (0, 2, 9, last)]
+    return reduce(DataFrame.unionByName, pages)
+
+
 def versions_all(spark, sf_dir):
     """Every copy of every row is a version, also in groups that are cut into slices."""
     copies = spark.sql(COPIES, reports=_reports(spark, sf_dir))
@@ -680,6 +691,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payload_extract": payload_extract,
         "page_ordered": page_ordered,
         "page_deep": page_deep,
+        "page_indexed": page_indexed,
         "versions_all": versions_all,
         "z_scores_double": z_scores_double,
         "stream_ingested": stream_ingested,
@@ -1099,6 +1111,11 @@ def core_oracles() -> dict[str, str]:
         "page_deep": """
             SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS o_orderdate, o_orderkey, o_custkey FROM orders
             ORDER BY 1 NULLS FIRST, 2 LIMIT 100 OFFSET 200""",
+        "page_indexed": """
+            SELECT page, o_orderdate, o_orderkey, o_custkey FROM (
+                SELECT *, (row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey) - 1) // 100 AS page, count(*) OVER () AS n
+                FROM (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS o_orderdate, o_orderkey, o_custkey FROM orders))
+            WHERE page IN (0, 2, 9, (n - 1) // 100)""",
         "versions_all": _with(
             f"""SELECT *, row_number() OVER w AS version_number, lag(covid_19_deaths) OVER w AS previous_value
                 FROM ({COPIES.replace("{reports}", "reports")})

@@ -1,7 +1,9 @@
+import re
+
 from helpers import plan
 from pyspark.sql import functions as F
 
-from vintage.operators.paging import page, page_after
+from vintage.operators.paging import build_pages, page, page_after, stored_page
 
 ORDER = ("period", "id")
 
@@ -40,3 +42,19 @@ def test_front_page_is_a_top_k_and_later_ones_push_the_period(spark, tmp_path):
     first = page_after(df, ORDER, 5, None)
     assert "TakeOrderedAndProject" in plan(first)
     assert "GreaterThanOrEqual(period" in plan(page_after(df, ORDER, 5, first.collect()[-1]))
+
+
+def test_stored_pages_read_index_and_slice_only(spark, tmp_path):
+    df = table(spark).select(F.when(F.col("id") % 5 > 1, F.col("period")).alias("period"), "id", F.lit("x").alias("more"))
+    path = str(tmp_path / "pages")
+    build_pages(df, ORDER, path, slice_rows=150)
+    want = sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0] is not None, r))
+    for size in (70, 300, 2000):
+        got = [stored_page(spark, path, ORDER, size, n).collect() for n in range(1000 // size + 2)]
+        assert [tuple(r) for p in got for r in p] == want and got[-1] == []
+    second = stored_page(spark, path, ORDER, 50, 1)
+    assert len(spark.read.parquet(f"{path}/rows").select("_slice").distinct().collect()) >= 6
+    picked = re.search(r"PartitionFilters: \[(?:isnotnull\(_slice#\d+\), )?\(?_slice#\d+ (?:= (\d+)|IN \(([\d,]+)\))", plan(second))
+    assert picked and len((picked[1] or picked[2]).split(",")) <= 2 and "Window" not in plan(second)
+    build_pages(df.limit(0), ORDER, f"{path}-empty")
+    assert stored_page(spark, f"{path}-empty", ORDER, 10, 0).count() == 0

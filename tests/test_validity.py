@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from helpers import plan, tuples
+from pyspark.sql import functions as F
 
 from vintage.feeds import DEATHS
 from vintage.operators.upsert import writer_session
@@ -81,3 +82,25 @@ def test_as_of_is_a_pruned_scan(spark, layers):
     assert "2026-09-02" in text.split("PartitionFilters")[1]
     files = models.as_of(spark, START, layers, (date(2026, 9, 2), date(2026, 9, 2))).inputFiles()
     assert files and all("snapshot_date=2026-09-02" in f for f in files)
+
+
+def test_readers_of_the_dimension_see_old_or_new_rows(spark, layers, monkeypatch):
+    load(spark, layers, versions(7, 40))
+    names = models.build_models(spark, layers)
+    table = names["dim_state"]
+    reader = spark.table(table)  # planned before the rebuilds, read after them
+    before = tuples(spark.table(table))
+    whole = models.dimension
+    broken = F.when(F.col("state") == "hot", F.raise_error(F.lit("lost"))).otherwise(F.col("state"))
+    with monkeypatch.context() as patched:
+        patched.setattr(models, "dimension", lambda *a: whole(*a).withColumn("state", broken))
+        with pytest.raises(Exception, match="lost"):
+            models.build_models(spark, layers)
+    assert tuples(spark.table(table)) == before
+    load(spark, layers, [("run_new", date(2026, 9, 1), START, "zz", 1)])
+    models.refresh_models(spark, ["run_new"], layers)
+    assert len(tuples(spark.table(table))) == len(before) + 1
+    assert tuples(reader) == before
+    models.build_models(spark, layers)
+    assert len(tuples(spark.table(table))) == len(before) + 1
+    assert spark.catalog.getTable(table).tableType == "MANAGED"

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from vintage.session import pin
 
@@ -50,3 +51,34 @@ def _key_at(keys: DataFrame, order: tuple[str, ...], position: int, slice_rows:
         return None
     inside = sliced.where(F.col("_slice") == holding["_slice"]).select(*order)
     return inside.orderBy(*order).offset(position - (holding["_upto"] - holding["count"])).limit(1).first()
+
+
+def build_pages(df: DataFrame, order: tuple[str, ...], path: str, slice_rows: int = SLICE_ROWS) -> None:
+    """Store ``df`` in slices of its order, with an index of how many rows precede each, for ``stored_page``.
+
+    Sorted once, however many pages are read. ``order`` must be unique per row; nulls come first.
+    """
+    slices = df.count() // slice_rows + 1
+    rows = df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
+    rows.sortWithinPartitions(*order).write.partitionBy("_slice").parquet(f"{path}/rows")
+    # Slices of an empty table have no files to read the columns from.
+    df.limit(0).write.parquet(f"{path}/columns")
+    counts = _stored(df.sparkSession, path).groupBy("_slice").agg(F.count(F.lit(1)).alias("n_rows"))
+    # A row per slice.
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts.withColumn("before", F.coalesce(F.sum("n_rows").over(before), F.lit(0))).coalesce(1).write.parquet(f"{path}/index")
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    columns = spark.read.parquet(f"{path}/columns").schema.add("_slice", IntegerType())
+    return spark.read.schema(columns).parquet(f"{path}/rows")
+
+
+def stored_page(spark: SparkSession, path: str, order: tuple[str, ...], size: int, n: int) -> DataFrame:
+    """Page ``n`` (from 0) of ``size`` rows of what ``build_pages`` stored: reads the index and the slices it lies in."""
+    first, index = n * size, spark.read.parquet(f"{path}/index")
+    holding = index.where((F.col("before") < first + size) & (F.col("before") + F.col("n_rows") > first)).orderBy("_slice").collect()
+    # As many slices as a page of this size meets, normally one or two.
+    rows = _stored(spark, path).where(F.col("_slice").isin([r["_slice"] for r in holding])).drop("_slice")
+    skip = first - holding[0]["before"] if holding else 0
+    return rows.orderBy(*order).offset(skip).limit(size)

@@ -208,9 +208,32 @@ def as_of(
 
 
 def _publish_dimension(deaths: DataFrame, activity: DataFrame, table: str) -> None:
-    # Without partitions an overwrite empties the table first; the job after that only copies a few rows.
-    with _staged(dimension([deaths, activity], "state", "state_key"), table) as found:
-        overwrite(found, table)
+    _switch(dimension([deaths, activity], "state", "state_key"), table)
+
+
+def _switch(df: DataFrame, table: str) -> None:
+    """Make ``df`` the contents of a table without partitions: written to a place of its own, then one catalog change.
+
+    An overwrite would empty the table first. Here readers see the old or the new rows at any moment, and a
+    build that fails has changed nothing. The version before stays for queries that are reading it.
+    """
+    session = df.sparkSession
+    described = session.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'")
+    here = described.first()["data_type"].rstrip("/")
+    base = here.split(_VERSION)[0]
+    there = f"{base}{_VERSION}{utc_now():%Y%m%d%H%M%S%f}"
+    df.select(*session.table(table).columns).write.parquet(there)
+    session.sql(f"ALTER TABLE {table} SET LOCATION '{there}'")
+    jvm = session.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(session.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}{_VERSION}*")):
+        if status.getPath().getName() not in (here.rsplit("/", 1)[-1], there.rsplit("/", 1)[-1]):
+            fs.delete(status.getPath(), True)
+
+
+#: Between the location of a table and the time at which its contents were made.
+_VERSION = "-version-"
 
 
 @contextmanager
@@ -303,7 +326,8 @@ def refresh_models(spark: SparkSession, runs: list[str], layers: Layers = Layers
         else:
             known = session.table(names["dim_state"])
             added = dimension([deaths, activity], "state", "state_key").join(known.select("state"), "state", "left_anti")
-            added.select(*known.columns).write.insertInto(names["dim_state"])
+            if not added.isEmpty():
+                _switch(known.unionByName(added.select(*known.columns)), names["dim_state"])
     return names
 
 
