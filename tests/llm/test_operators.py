@@ -526,6 +526,12 @@ def test_languages(spark, odd):
             assert (r["lang_pred"], r["score"]) == ("und", 0.0)
 
 
+def test_language_beside_columns_of_its_working_names(spark):
+    docs = documents(spark).withColumns({c: F.lit(1) for c in ("share", "k", "key", "n", "p", "score")})
+    named = langid.identify(docs, ["doc_id", "share"], langid.fit(docs)).count()
+    assert named == docs.count()
+
+
 def test_language_learns_only_from_the_other_folds(spark):
     rows = [(i, "abc" if plain.held_out(i) else "xyz", "held" if plain.held_out(i) else "seen", "s", 0) for i in range(200)]
     rows.append((None, "q", "none", "s", 0))

@@ -59,7 +59,8 @@ def sample(df: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     A language with more than ``per_language`` documents gives those whose hash lies below a cut that
     lets about so many through, so no text is shuffled or sorted for the choice.
     """
-    usable = df.filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").filter(~held_out())
+    # These columns alone: others may have the names used below.
+    usable = df.select("doc_id", "text", "lang").filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").filter(~held_out())
     cuts = usable.groupBy("lang").agg((per_language / F.count(F.lit(1))).alias("share"))
     chance = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / float(1 << 53)
     return usable.join(stage(cuts), "lang").filter(chance < F.col("share")).select("lang", "text")
