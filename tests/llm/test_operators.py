@@ -90,6 +90,38 @@ def test_em_is_a_probability_and_orders_votes():
     assert quality.fit({}) == {}
 
 
+def planted(n=20_000, noisy=0.3, seed=5):
+    """Texts bad in one of two ways, two sound rules for each, and a rule that cries bad at random."""
+    rng = np.random.default_rng(seed)
+    kind = rng.choice(3, n, p=[0.85, 0.1, 0.05])  # good, bad in the first way, bad in the second
+    chance = np.array([[0.01, 0.02, 0.01, 0.02, noisy], [0.9, 0.8, 0.01, 0.02, noisy], [0.01, 0.02, 0.9, 0.7, noisy]])
+    votes = np.where(rng.random((n, 5)) < chance[kind], quality.BAD, quality.GOOD)
+    votes[rng.random((n, 5)) < 0.1] = quality.ABSTAIN
+    return kind == 0, ["".join(v) for v in votes]
+
+
+@pytest.mark.parametrize("noisy", [0.02, 0.1, 0.3, 0.6])
+def test_posterior_beats_all_must_pass_beside_a_noisy_rule(noisy):
+    good, votes = planted(noisy=noisy)
+    found = quality.fit(Counter(votes), ["a", "a", "b", "b", "a"])
+    by_posterior = np.array([found[v] >= 0.5 for v in votes])
+    by_all = np.array([quality.BAD not in v for v in votes])
+    assert (by_posterior == good).mean() > max(0.95, (by_all == good).mean() + 0.02)
+    assert found["++++-"] > 0.5 > max(found["--+++"], found["++--+"])  # the noisy rule is overruled, agreement is not
+
+
+def test_a_sound_rule_is_believed_alone():
+    good, votes = planted(noisy=0.0)
+    found = quality.fit(Counter(votes) | {"-0+++": 0}, ["a", "a", "b", "b", "a"])
+    assert found["-0++0" if "-0++0" in found else "-0+++"] < 0.5
+
+
+def test_posterior_overrules_votes_on_the_documents(spark):
+    judged = quality.judge(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), ["doc_id"])
+    overruled = judged.filter("kept AND instr(votes, '-') > 0").count()
+    assert overruled > 0.2 * judged.count()
+
+
 # --- 4 simhash ---
 
 

@@ -6,7 +6,8 @@ same votes are alike to the model, so it is fitted on one row per pattern of vot
 3 ** number of rules, whatever the corpus), and applied by a look-up of the pattern.
 
 Defined results: a null text has no words and no lines; repeated rows are judged alike, each on its
-own; an empty table gives an empty result; columns outside ``carry`` are not looked at.
+own; an empty table gives an empty result; columns outside ``carry`` are not looked at. Texts are looked at
+whole; a text and its windows of words must fit in a task.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from vintage.llm.text import whole, words
 WINDOW = 5
 GOOD, BAD, ABSTAIN = "+", "-", "0"
 MIN_WORDS = 10
-#: Chances of a vote for bad to start from: on good texts, on a rule's own bad texts, on the others.
-START_GOOD, START_OWN, START_OTHER = 0.01, 0.9, 0.1
+#: Chances of a vote for bad to start from: as noise, and on the bad texts that a rule is made for; and the least of those.
+START_GOOD, START_OWN, LEAST_OWN = 0.01, 0.9, 0.5
 MAX_REPEATED_PERCENT = 20
 
 
@@ -43,9 +44,20 @@ def rules() -> dict[str, tuple[Column, Column]]:
         "lines": (_per("n_dup_lines", "n_lines") > 0.5, F.col("n_dup_lines") == 0),
         "repeats": (_per("n_repeat_words", "n_words") > 0.3, _per("n_repeat_words", "n_words") < 0.1),
         "variety": (_per("n_distinct", "n_words") < 0.15, _per("n_distinct", "n_words") > 0.3),
+        "symbol_runs": (_per("n_symbol_runs", "n_words") > 0.1, _per("n_symbol_runs", "n_words") < 0.02),
+        "sentences": (_per("n_stops", "n_words") < 0.08, _per("n_stops", "n_words").between(0.08, 0.2)),
+        "short_words": (chars < 5, chars.between(5, 10)),
     }
 
 
+#: Rules that look for the same fault. Votes of one family support each other, of others they are unrelated.
+FAMILIES = {
+    "length": "shape", "word_length": "shape", "symbols": "symbols", "symbol_runs": "symbols", "short_words": "symbols",
+    "shouting": "shouting", "marks": "shouting",
+    "lines": "repetition", "repeats": "repetition", "variety": "repetition", "sentences": "repetition",
+}
+
+
 def counted(df: DataFrame, text: Column, carry: Column) -> DataFrame:
     """One row per row of ``df``: ``carry`` as ``row`` and the counts that the rules look at."""
     base = df.select(carry.alias("row"), whole(text).alias("text"))
@@ -63,6 +75,8 @@ def counted(df: DataFrame, text: Column, carry: Column) -> DataFrame:
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.regexp_count("text", F.lit(r"\p{Lu}{2,}")).cast("long").alias("n_caps"),
         F.regexp_count("text", F.lit(r"[!?]")).cast("long").alias("n_marks"),
+        F.regexp_count("text", F.lit(r"[#*$%&|<>]+")).cast("long").alias("n_symbol_runs"),
+        F.regexp_count("text", F.lit(r"[.!?]")).cast("long").alias("n_stops"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
@@ -129,6 +143,8 @@ def counted(df: DataFrame, text: Column, carry: Column) -> DataFrame:
         "n_caps",
         "n_marks",
         "n_distinct",
+        "n_symbol_runs",
+        "n_stops",
     )
 
 
@@ -137,47 +153,65 @@ def votes() -> Column:
     return F.concat(*(F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN) for bad, good in rules().values()))
 
 
-def fit(patterns: dict[str, int], rounds: int = 100, strength: float = 10.0) -> dict[str, float]:
+def fit(
+    patterns: dict[str, int], families: list[str] | None = None, rounds: int = 200, strength: float = 10.0
+) -> dict[str, float]:
     """EM over vote patterns: the posterior chance of being good of each.
 
-    Besides the good texts there is a class of bad texts per rule, as most bad texts are bad in one way and
-    keep the other rules. Every class has an accuracy of every rule: how often it votes bad, of the times it
-    votes; an abstention says nothing. The start says what rules are made for: good texts seldom break one,
-    texts of a rule's own class mostly do. ``strength`` pseudo votes hold classes that hardly occur there.
+    Besides the good texts there is a class of bad texts per family of rules (by default ``FAMILIES``), as most
+    bad texts are bad in one way; a family of one rule, which no other could confirm, has none. A rule has two
+    error rates: how often it misses its family's class, and how often it votes bad on others, its noise. Noise is
+    taken to be the same on good texts as on texts that are bad in an unrelated way, and it is there, where
+    other rules have given a text away, that it is estimated. So a rule that cries bad at random is overruled
+    on good texts, and one that is quiet on other faults is believed even alone. ``strength`` pseudo votes,
+    which hold a rule to be accurate, decide where there is no such evidence. An abstention says nothing.
     """
-    n = len(rules())
-    start = [[START_GOOD] * n, *([START_OWN if j == k else START_OTHER for j in range(n)] for k in range(n))]
-    share, chance = [0.5, *[0.5 / n] * n], [list(c) for c in start]
+    families = families or [FAMILIES.get(name, name) for name in rules()]
+    names = sorted(f for f in set(families) if families.count(f) > 1)
+    own_class = [1 + names.index(f) if f in names else 0 for f in families]
+    n, classes = len(families), 1 + len(names)
+    # Noise starts from texts that two rules of another family agree on.
+    noise, own = [], [START_OWN] * n
+    for j, mine in enumerate(own_class):
+        said, bad = 0.0, 0.0
+        for pattern, count in patterns.items():
+            agreed = [c for c in range(1, classes) if c != mine and sum(v == BAD and own_class[k] == c for k, v in enumerate(pattern)) > 1]
+            said += count * (bool(agreed) and pattern[j] != ABSTAIN)
+            bad += count * (bool(agreed) and pattern[j] == BAD)
+        noise.append((bad + strength * START_GOOD) / (said + strength))
+    share = [0.5, *[0.5 / max(len(names), 1)] * len(names)]
     total = sum(patterns.values())
     for _ in range(rounds if total else 0):
-        mass = [0.0] * (n + 1)
-        voted, against = ([[0.0] * n for _ in range(n + 1)] for _ in range(2))
+        mass = [0.0] * classes
+        voted, against = ([[0.0] * n for _ in range(classes)] for _ in range(2))
         for pattern, count in sorted(patterns.items()):
-            for c, p in enumerate(_posteriors(share, chance, pattern)):
+            for c, p in enumerate(_posteriors(share, noise, own, own_class, pattern)):
                 mass[c] += count * p
                 for j, vote in enumerate(pattern):
                     if vote != ABSTAIN:
                         voted[c][j] += count * p
                         against[c][j] += count * p * (vote == BAD)
-        before = [*share, *(x for c in chance for x in c)]
-        share = [(m + strength / (n + 1)) / (total + strength) for m in mass]
-        chance = [
-            [(against[c][j] + strength * start[c][j]) / (voted[c][j] + strength) for j in range(n)] for c in range(n + 1)
-        ]
-        # A class stands for its rule, and good texts keep it.
-        for j in range(n):
-            chance[0][j] = min(max(chance[0][j], 0.0005), START_GOOD * 2)
-            chance[j + 1][j] = max(chance[j + 1][j], 0.5)
-        if max(abs(x - y) for x, y in zip(before, [*share, *(x for c in chance for x in c)], strict=True)) < 1e-9:
+        before = [*share, *noise, *own]
+        share = [(m + strength / classes) / (total + strength) for m in mass]
+        for j, mine in enumerate(own_class):
+            unrelated = [c for c in range(1, classes) if c != mine]
+            said, bad = sum(voted[c][j] for c in unrelated), sum(against[c][j] for c in unrelated)
+            noise[j] = (bad + strength * START_GOOD) / (said + strength)
+            # A class stands for its rules.
+            if mine:
+                own[j] = max((against[mine][j] + strength * START_OWN) / (voted[mine][j] + strength), LEAST_OWN)
+        if max(abs(x - y) for x, y in zip(before, [*share, *noise, *own], strict=True)) < 1e-9:
             break
-    return {pattern: _posteriors(share, chance, pattern)[0] for pattern in patterns}
+    return {pattern: _posteriors(share, noise, own, own_class, pattern)[0] for pattern in patterns}
 
 
-def _posteriors(share: list[float], chance: list[list[float]], pattern: str) -> list[float]:
-    logs = [
-        math.log(s) + sum(math.log(p if v == BAD else 1 - p) for p, v in zip(c, pattern, strict=True) if v != ABSTAIN)
-        for s, c in zip(share, chance, strict=True)
-    ]
+def _posteriors(share: list[float], noise: list[float], own: list[float], own_class: list[int], pattern: str) -> list[float]:
+    logs = [math.log(s) for s in share]
+    for j, vote in enumerate(pattern):
+        if vote != ABSTAIN:
+            for c in range(len(logs)):
+                p = own[j] if c and own_class[j] == c else noise[j]
+                logs[c] += math.log(p if vote == BAD else 1 - p)
     top = max(logs)
     weights = [math.exp(x - top) for x in logs]
     return [w / sum(weights) for w in weights]
