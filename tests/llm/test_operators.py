@@ -348,6 +348,27 @@ def test_sharding_splits_copies_and_moves_rows_once(spark, tmp_path):
     assert moved._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
+def test_sharding_survives_other_splits_between_counting_and_moving(spark, tmp_path, monkeypatch):
+    """As after a lost executor: the input would be read in other pieces the second time."""
+    text = F.when(F.col("id") % 3 > 0, F.lit("same text " * 20)).otherwise(F.sha2(F.col("id").cast("string"), 256))
+    spark.range(4000, numPartitions=3).select(F.lit(7).cast("long").alias("doc_id"), text.alias("text")).write.parquet(str(tmp_path / "t"))
+    counted = sharding.splitters
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def then_split_otherwise(*args):
+        cuts = counted(*args)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5k")
+        return cuts
+
+    monkeypatch.setattr(sharding, "splitters", then_split_otherwise)
+    try:
+        rows = sharding.shard(spark.read.parquet(str(tmp_path / "t")), ["doc_id", "text"]).select("row.*", "size", "shard", "slot").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 4000
+    check_shards(rows, 8)
+
+
 # --- 3 licences ---
 
 

@@ -4,12 +4,14 @@ Documents are ordered by (hash of the text, id, place in the input), so equal te
 every position can be split at, even inside a group of copies. Shards are cut where the running bytes
 reach equal shares; each shard is cut further into pieces of a bounded size, one task each.
 
-A round counts bytes and rows in equal sub-ranges of the ranges that still hold a splitter, on a narrow
-staged table of keys. The driver sees these counts only: at most 1,024 a splitter and round.
+Rows are staged with their keys first: a place in the input depends on how it is split for reading, and the
+rows that are moved must have the keys that were counted. A round counts bytes and rows in equal sub-ranges of
+the ranges that still hold a splitter, and reads the keys alone. The driver sees these counts only: at most
+1,024 a splitter and round.
 
 Defined results: a null text has size 1 and a null checksum stays null; a null id sorts first; repeated
-rows are split by their place; an empty table gives an empty result. The input must be a table, or
-any frame that gives the same rows in the same order when read again.
+rows are split by their place; an empty table gives an empty result. The input is read once and may be any
+frame. A long text is moved as a whole, so a shard may be off by one text.
 """
 
 from __future__ import annotations
@@ -140,8 +142,8 @@ def _not_below(cut: tuple[int, ...]) -> Column:
 
 def shard(df: DataFrame, carry: list[str], shards: int = SHARDS, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """``row``, ``size``, ``shard`` and ``slot`` (from 0 in each shard) for every row of ``df``."""
-    rows = keyed(df, carry)
-    keys = stage(rows.select("size", *KEYS))
+    rows = stage(keyed(df, carry))
+    keys = rows.select("size", *KEYS)
     total = keys.agg(F.sum("size")).first()[0] or 0
     per_shard = max(1, min(-(-total // (shards * piece_bytes)), MAX_PIECES // shards))
     n = shards * per_shard
