@@ -19,9 +19,11 @@ from __future__ import annotations
 import os
 import string
 import zlib
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
+from itertools import count as numbers
 
 import numpy as np
 import pyarrow as pa
@@ -129,31 +131,20 @@ def _behind_escapes(words: np.ndarray, selector: np.ndarray) -> np.ndarray:
 # --- tokens ---
 
 
-class _Known(dict):
-    """Numbers keys as they are looked up."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, key: bytes) -> int:
-        self[key] = number = len(self)
-        self.new.append(key)
-        return number
-
-
 class Ids:
     """Lists of ids by key, in one array. Keys are numbered when looked up, and their ids added in that order."""
 
     def __init__(self) -> None:
-        self.known = _Known()
+        self.known: defaultdict[bytes, int] = defaultdict(numbers().__next__)
+        self.learned = 0
         self.ids, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def places(self, keys: Iterable[bytes]) -> np.ndarray:
         return np.fromiter(map(self.known.__getitem__, keys), np.int64)
 
     def take_new(self) -> list[bytes]:
-        new, self.known.new = self.known.new, []
+        new = list(islice(reversed(self.known), len(self.known) - self.learned))[::-1]
+        self.learned = len(self.known)
         return new
 
     def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
@@ -194,10 +185,18 @@ class WordTokenizer:
             self.parts = Ids()
         flat, counts = [], []
         for word in words:
-            # Added tokens are looked for in the text as it is, so what may hold one is not lower-cased.
-            plain = word.lower() if word.isascii() and b"<|" not in word else word
+            # Added tokens are looked for in the text as it is, so what may hold one is neither cut nor lower-cased.
+            if b"<|" in word:
+                flat.append(word)
+                counts.append(1)
+                continue
+            plain = word.lower() if word.isascii() else word
+            if plain[-1:].isalnum():  # no punctuation at the end, as of most words
+                flat.append(plain)
+                counts.append(1)
+                continue
             base = plain.rstrip(_PUNCTUATION)
-            if base == plain or not base[-1:].isalnum() or b"<|" in plain:
+            if base == plain or not base[-1:].isalnum():
                 flat.append(plain)
                 counts.append(1)
             else:
