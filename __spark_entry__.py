@@ -610,6 +610,23 @@ def resent_feed(spark, sf_dir):
     return spark.table(layers.raw_table(feed)).drop("raw_payload")
 
 
+def known_files(spark, sf_dir):
+    """Two runs over one folder, the second of which opens the newer files alone: rows, and what the manifest says."""
+    layers = _layers(spark)
+    feed = replace(DEATHS, sentinel=None)
+    records = _daily_records(spark, sf_dir, "total")
+    old = F.to_date(F.substring("week_ending_date", 1, 10)) <= F.lit(BACKFILL_TO)
+    folder = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex[:12]}"
+    for i, (part, now) in enumerate(((records.where(old), CUT), (records.where(~old), STAMP))):
+        part.select(F.to_json(F.struct(*part.columns)).alias("value")).coalesce(1).write.text(f"{folder}/{i}")
+        feed_run.run_feed(spark, feed, folder, layers, run_id=f"run_{i}", now=now, known_files=True)
+    stored = spark.table(layers.raw_table(feed)).select("run_id", "snapshot_date", "state", "covid_19_deaths")
+    held = spark.table(layers.landed).select(
+        F.lit("manifest"), "last_period", F.concat(F.lit("from "), F.col("first_period").cast("string")), F.lit(None).cast("bigint")
+    )
+    return stored.union(held)
+
+
 def feed_run_reload(spark, sf_dir):
     """A run that fails its rules, loaded again under its name with values that pass: log, then stored rows."""
     layers = _layers(spark)
@@ -711,6 +728,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feed_run_flags": feed_run_flags,
         "feed_run_activity": feed_run_activity,
         "feed_run_reload": feed_run_reload,
+        "known_files": known_files,
         "resent_feed": resent_feed,
     }
 
@@ -1171,6 +1189,11 @@ def core_oracles() -> dict[str, str]:
         "feed_run_activity": _with(_load_log(
             "run_weekly", ACTIVITY.pipeline, "daily", extract="success", load="success", validate="failure"
         )),
+        "known_files": _with(f"""
+            , parts AS (SELECT *, CASE WHEN day <= DATE '{BACKFILL_TO}' THEN 'run_0' ELSE 'run_1' END AS run_id FROM daily)
+            SELECT run_id, day AS snapshot_date, 'u' || cast(user_id AS varchar) AS state, total AS covid_19_deaths FROM parts
+            UNION ALL SELECT 'manifest', max(day), 'from ' || cast(min(day) AS varchar), NULL FROM parts GROUP BY run_id"""
+        ).replace(") \n            , parts", "), parts", 1),
         # The only run has no history, so nothing is flagged.
         "feed_run_reload": _with(f"""
             SELECT stage, status, n AS row_count_in, CASE WHEN status = 'success' AND stage <> 'anomaly_detection' THEN n ELSE 0 END AS row_count_out

@@ -15,6 +15,7 @@ from vintage.operators.rules import ValidationFailed, require_success, sample_al
 from vintage.operators.upsert import writer_session
 from vintage.schemas import Layers
 from vintage.sources.digests import changed_rows, create_digests, keep_digests
+from vintage.sources.landed import create_landed, enter_files, files_to_read, read_files
 from vintage.sources.landing import read_landing, string_fields, typed_rows
 from vintage.sources.ledger import compact_log, logged_stage, pending_runs, write_anomaly_flags
 from vintage.sources.load import load_batch
@@ -111,12 +112,16 @@ def run_feed(
     modified_after: str | None = None,
     period_dir: str | None = None,
     changes_only: bool = False,
+    known_files: bool = False,
 ) -> dict:
     """Load what is newer than the high-water mark, validate it, then flag its outliers.
 
     Where the landing folder has a folder per period, named by ``period_dir``, those up to the mark (less
     ``lookback_days``) are not opened; the rows are the same.
 
+    With ``known_files`` a manifest of the landed files is kept, and files that are known to hold no period after
+    the mark (less ``lookback_days``) are not opened. Until the first such run all files are read.
+
     With ``changes_only`` a record that is read again is loaded only if it differs from the value that the last
     run that passed stored for its period and state, so a feed that is sent in full adds its revisions alone.
 
@@ -126,13 +131,21 @@ def run_feed(
     run_id = run_id or new_run_id()
     mark = last_period(spark.table(layers.raw_table(feed)), feed.sentinel)
     after = mark and mark - timedelta(days=lookback_days)
-    records = read_landing(spark, landing, layout, modified_after, period_dir, after)
+    files = None
+    if known_files:
+        create_landed(spark, layers)
+        files = files_to_read(spark, feed, landing, layers, after)
+        records = read_files(spark, files, layout)
+    else:
+        records = read_landing(spark, landing, layout, modified_after, period_dir, after)
     batch = ingest(records, feed, mark, run_id, now, lookback_days)
     if changes_only:
         create_digests(spark, layers)
         _digest_passed(spark, feed, layers)
         batch = changed_rows(spark, feed, batch, layers)
     load = load_batch(spark, feed, batch, run_id, layers)
+    if files:
+        enter_files(spark, feed, files, layout, layers)
     log = spark.table(layers.run_log)
     checked, failed = {}, []
     for pending in pending_runs(log, feed.pipeline, "load", "validate"):

@@ -34,6 +34,11 @@ STATISTICS_DDL = (
     "squares double, low double, high double"
 )
 
+LANDED = "landed_files"
+LANDED_DDL = (
+    "source string not null, path string, length bigint, modified timestamp_ntz, first_period date, last_period date"
+)
+
 DIGESTS = "content_digests"
 DIGESTS_DDL = "state string, digest string, ingested_at timestamp_ntz, run_id string, source string, snapshot_date date"
 
@@ -76,6 +81,10 @@ class Layers:
     def quarantine(self, feed: Feed) -> str:
         return _within(self.raw, f"{feed.table}_quarantine")
 
+    @property
+    def landed(self) -> str:
+        return _within(self.observability, LANDED)
+
     @property
     def digests(self) -> str:
         return _within(self.observability, DIGESTS)
