@@ -15,7 +15,8 @@ hashes of id and text, which bounds the tables that are broadcast.
 
 Defined results: ``und`` with score 0 for texts that are null, empty or without a letter, and for all when
 nothing can be learned; equal code lengths go to the first language by name; a null id is not held out
-and not learned from; repeated rows each keep their row; an empty table gives an empty result.
+and not learned from; repeated rows each keep their row; an empty table gives an empty result. Texts are scored
+whole, very long ones in chunks of ``CHUNK`` bytes that see the bytes before them; other columns are not read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Base phrases are reported at all their places, whatever the templates say.
 
 Defined results: a null text is the empty text, which has no words; labels are distinct, sorted and
 comma-joined, "" if there are none; the score is the best coverage among the found templates, 0 if none;
-repeated rows are scanned each on its own; an empty table gives an empty result.
+repeated rows are scanned each on its own; an empty table gives an empty result. Texts are scanned whole, also
+very long ones; the words of a text must fit in a task. Columns outside ``carry`` are not looked at.
 """
 
 from __future__ import annotations

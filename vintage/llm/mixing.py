@@ -8,7 +8,8 @@ document (or a tie of equal hashes) is left. Nothing is sorted, and the last pas
 Defined results: a null source is a source, last in order; a null text has size 0; documents equal in
 id and text share a hash and are taken together; the tie at the budget's end is taken if that
 brings the source nearer to its target; a source of size 0 has target 0. The same table gives the
-same mix in every run. The table of sources goes through one task, a row per source.
+same mix in every run. A document is taken whole or not at all, so a very long one can put its source off its
+target by up to half its size; columns outside ``carry`` are not looked at. The table of sources goes through one task, a row per source.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ international ones with a plus, social security numbers, IBANs (mod 97), dates t
 them is looked for again: a text is read in several passes, each over what those before it have left.
 
 Defined results: a null text stays null, an empty one empty; repeated rows are treated alike; an empty
-table gives an empty result; other columns are not changed.
+table gives an empty result; other columns are not changed, whatever their names. Texts are read whole, also very
+long ones; a text and what was found in it must fit in a task. Of values that overlap, the kind listed first
+and then the one further left is taken.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ fingerprints only.
 
 Defined results: a null text is the empty text; texts without words have fingerprint 0 and link like
 any other; rows with a null id link, and an id of a component is its smallest not null (null if none);
-repeated rows each keep their row; an empty table gives an empty result.
+repeated rows each keep their row; an empty table gives an empty result. Texts are hashed whole, very long ones in
+slabs of shingles; columns outside ``carry`` are not looked at.
 """
 
 from __future__ import annotations
