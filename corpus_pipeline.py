@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. All but the last
 return the columns of ``documents``; the last returns the ids of every document.
+
+Nulls, empty and very long texts, ties, copies and clashing columns are treated as the operators say: a null or
+empty text fails the quality rules, of a group of near duplicates the row with the smallest id stays (one of
+those with equal ids), a document that the mix takes twice comes out twice, and empty tables give
+empty tables. Texts are worked on whole at every stage.
 """
 
 from __future__ import annotations
