@@ -5,6 +5,7 @@ import pytest
 from helpers import plan, tuples
 from pyspark.sql import functions as F
 
+from vintage.functions import skew
 from vintage.functions.skew import hot_groups, with_versions
 from vintage.operators.versions import latest, latest_as_of, revision_history
 from vintage.plans.models import as_reported, latest_fact, revisions
@@ -129,3 +130,16 @@ def test_latest_limits_groups_before_the_shuffle(spark):
 def test_revision_history_needs_one_exchange_one_sort_one_window(spark):
     text = plan(revisions(frame(spark, [version(1, 1)]), "covid_19_deaths"))
     assert [text.count(f"{node} [") + text.count(f"{node} hash") for node in ("Exchange", "Sort", "Window")] == [1, 1, 1]
+
+
+def test_small_hot_groups_are_cut_into_a_bounded_number_of_slices(spark, monkeypatch):
+    """A slice is a task: their number must not grow with the rows over a small ``hot_rows``."""
+    cut = []
+    whole = skew._numbered_in_slices
+    monkeypatch.setattr(skew, "SLICES", 12)
+    monkeypatch.setattr(skew, "_numbered_in_slices", lambda *args: cut.append(args[4]) or whole(*args))
+    rows = [version(i % 7, i % 5, f"s{i % 3}", 1 + i % 31) for i in range(600)]
+    args = KEYS, (*VERSION, "covid_19_deaths"), "covid_19_deaths"
+    got = with_versions(frame(spark, rows), *args, hot_rows=2)
+    assert tuples(got) == tuples(with_versions(frame(spark, rows), *args)) and cut == [12]
+    assert skew.slice_count(50 * skew.HOT_ROWS, 2) == 51 and skew.slice_count(10, 5) == 3

@@ -22,6 +22,8 @@ HOT_ROWS = 1_000_000
 COUNTED_ROWS = 1_000
 #: Longer lists are joined without a broadcast hint.
 BROADCAST_GROUPS = 10_000
+#: Up to so many slices are cut as small as asked for; beyond, a slice may hold up to HOT_ROWS rows.
+SLICES = 200
 
 
 def hot_groups(df: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -37,6 +39,11 @@ def hot_groups(df: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -
     return None if found.isEmpty() else found
 
 
+def slice_count(rows: int, slice_rows: int) -> int:
+    """How many slices ``rows`` rows are cut into. A slice is a task, so their number stays small where ``slice_rows`` is."""
+    return min(math.ceil(rows / slice_rows) + 1, max(SLICES, math.ceil(rows / HOT_ROWS) + 1))
+
+
 def is_short(listed: DataFrame) -> bool:
     return listed.count() <= BROADCAST_GROUPS
 
@@ -94,7 +101,7 @@ def with_versions(
         return _numbered(df, keys, order, value)
     small = is_short(hot)
     cold, big = split_hot(df, hot.select(*keys), keys, small)
-    slices = math.ceil(hot.agg(F.sum("n")).first()[0] / hot_rows) + 1
+    slices = slice_count(hot.agg(F.sum("n")).first()[0], hot_rows)
     return _numbered(cold, keys, order, value).unionByName(
         _numbered_in_slices(big, keys, order, value, slices, small and slices <= BROADCAST_GROUPS)
     )
