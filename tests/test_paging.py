@@ -3,6 +3,7 @@ import re
 from helpers import plan
 from pyspark.sql import functions as F
 
+from vintage.functions import skew
 from vintage.operators.paging import build_pages, page, page_after, stored_page
 
 ORDER = ("period", "id")
@@ -58,3 +59,17 @@ def test_stored_pages_read_index_and_slice_only(spark, tmp_path):
     assert picked and len((picked[1] or picked[2]).split(",")) <= 2 and "Window" not in plan(second)
     build_pages(df.limit(0), ORDER, f"{path}-empty")
     assert stored_page(spark, f"{path}-empty", ORDER, 10, 0).count() == 0
+
+
+def test_a_small_slice_size_makes_a_bounded_number_of_stored_slices(spark, tmp_path, monkeypatch):
+    """A slice is a task and a folder: their number must not grow with the table over a small ``slice_rows``."""
+    monkeypatch.setattr(skew, "SLICES", 7)
+    df = table(spark).select(F.when(F.col("id") % 5 > 1, F.col("period")).alias("period"), "id")
+    path = str(tmp_path / "pages")
+    build_pages(df, ORDER, path, slice_rows=4)
+    assert 1 < spark.read.parquet(f"{path}/rows").select("_slice").distinct().count() <= 7
+    want = sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0] is not None, r))
+    for size in (130, 600):  # within a slice, across two, and over several whole ones
+        got = [stored_page(spark, path, ORDER, size, n) for n in range(1000 // size + 2)]
+        assert [tuple(r) for p in got for r in p.collect()] == want
+        assert all(p.columns == df.columns for p in got)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from vintage.functions.skew import slice_count
 from vintage.session import pin
 
 PAGE_SIZE = 5000
@@ -40,6 +41,14 @@ def _from_key(df: DataFrame, order: tuple[str, ...], key: Row, inclusive: bool)
     return rows if key[order[0]] is None else rows.where(F.col(order[0]) >= literals[0])
 
 
+def _sliced(df: DataFrame, order: tuple[str, ...], slice_rows: int) -> DataFrame:
+    """``df`` cut into slices of its order, with the number of each row's ``_slice`` and its ``_position`` there, from 0."""
+    cut = df.repartitionByRange(slice_count(df.count(), slice_rows), *order).withColumn("_slice", F.spark_partition_id())
+    # Ids of the rows of a partition are consecutive; the partition is in the bits above.
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return cut.sortWithinPartitions("_slice", *order).withColumn("_position", position)
+
+
 def _key_at(keys: DataFrame, order: tuple[str, ...], position: int, slice_rows: int) -> Row | None:
     """The key at ``position`` in the order, found through the row counts of range slices."""
     slices = keys.count() // slice_rows + 1
@@ -58,11 +67,10 @@ def build_pages(df: DataFrame, order: tuple[str, ...], path: str, slice_rows: in
 
     Sorted once, however many pages are read. ``order`` must be unique per row; nulls come first.
     """
-    slices = df.count() // slice_rows + 1
-    rows = df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
-    rows.sortWithinPartitions(*order).write.partitionBy("_slice").parquet(f"{path}/rows")
+    rows = _sliced(df, order, slice_rows)
+    rows.write.partitionBy("_slice").parquet(f"{path}/rows")
     # Slices of an empty table have no files to read the columns from.
-    df.limit(0).write.parquet(f"{path}/columns")
+    rows.drop("_slice").limit(0).write.parquet(f"{path}/columns")
     counts = _stored(df.sparkSession, path).groupBy("_slice").agg(F.count(F.lit(1)).alias("n_rows"))
     # A row per slice.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,7 +86,12 @@ def stored_page(spark: SparkSession, path: str, order: tuple[str, ...], size: in
     """Page ``n`` (from 0) of ``size`` rows of what ``build_pages`` stored: reads the index and the slices it lies in."""
     first, index = n * size, spark.read.parquet(f"{path}/index")
     holding = index.where((F.col("before") < first + size) & (F.col("before") + F.col("n_rows") > first)).orderBy("_slice").collect()
+    if not holding:
+        return _stored(spark, path).drop("_slice", "_position").limit(0)
     # As many slices as a page of this size meets, normally one or two.
-    rows = _stored(spark, path).where(F.col("_slice").isin([r["_slice"] for r in holding])).drop("_slice")
-    skip = first - holding[0]["before"] if holding else 0
-    return rows.orderBy(*order).offset(skip).limit(size)
+    rows = _stored(spark, path).where(F.col("_slice").isin([r["_slice"] for r in holding]))
+    ends, begins = holding[-1], holding[0]
+    # A slice between the two lies in the page as a whole.
+    rows = rows.where((F.col("_slice") > begins["_slice"]) | (F.col("_position") >= first - begins["before"]))
+    rows = rows.where((F.col("_slice") < ends["_slice"]) | (F.col("_position") < first + size - ends["before"]))
+    return rows.drop("_slice", "_position").orderBy(*order).limit(size)
