@@ -4,6 +4,7 @@ from helpers import plan
 from pyspark.sql import functions as F
 
 from vintage.functions import skew
+from vintage.operators import paging
 from vintage.operators.paging import build_pages, page, page_after, stored_page
 
 ORDER = ("period", "id")
@@ -73,3 +74,18 @@ def test_a_small_slice_size_makes_a_bounded_number_of_stored_slices(spark, tmp_p
         got = [stored_page(spark, path, ORDER, size, n) for n in range(1000 // size + 2)]
         assert [tuple(r) for p in got for r in p.collect()] == want
         assert all(p.columns == df.columns for p in got)
+
+
+def test_a_page_is_found_through_a_bounded_number_of_slices(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SLICES", 7)
+    cut, whole = [], paging.pin
+
+    def pinned(df):
+        cut.append(whole(df))
+        return cut[-1]
+
+    monkeypatch.setattr(paging, "pin", pinned)
+    df = table(spark)
+    want = sorted(tuple(r) for r in df.collect())
+    assert [tuple(r) for n in (0, 3, 9, 10) for r in page(df, ORDER, 100, n, slice_rows=4).collect()] == want[:100] + want[300:400] + want[900:]
+    assert [c.rdd.getNumPartitions() for c in cut] == [7] * 4

@@ -51,15 +51,15 @@ def _sliced(df: DataFrame, order: tuple[str, ...], slice_rows: int) -> DataFrame
 
 def _key_at(keys: DataFrame, order: tuple[str, ...], position: int, slice_rows: int) -> Row | None:
     """The key at ``position`` in the order, found through the row counts of range slices."""
-    slices = keys.count() // slice_rows + 1
-    sliced = pin(keys.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
+    sliced = pin(_sliced(keys, order, slice_rows))
     upto = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = sliced.groupBy("_slice").count().withColumn("_upto", F.sum("count").over(upto))
     holding = counts.where(F.col("_upto") > position).orderBy("_slice").first()
     if holding is None:
         return None
-    inside = sliced.where(F.col("_slice") == holding["_slice"]).select(*order)
-    return inside.orderBy(*order).offset(position - (holding["_upto"] - holding["count"])).limit(1).first()
+    inside = position - (holding["_upto"] - holding["count"])
+    # One row, so that no slice is sent to the driver in part.
+    return sliced.where((F.col("_slice") == holding["_slice"]) & (F.col("_position") == inside)).select(*order).collect()[0]
 
 
 def build_pages(df: DataFrame, order: tuple[str, ...], path: str, slice_rows: int = SLICE_ROWS) -> None:
