@@ -4,6 +4,7 @@ from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
 
 from vintage.operators.upsert import writer_session
 from vintage.sources import volumes
@@ -89,3 +90,18 @@ def test_one_compaction_at_a_time(spark, layers):
         assert first and not second
         assert compact_log(spark, layers, fan=2) == 0
     assert compact_log(spark, layers, fan=2) >= 1
+
+
+def test_a_large_append_is_one_volume_written_by_several_tasks(spark, layers):
+    session = writer_session(spark)
+    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    row = run_log_row(session, "r", "p", "load", "success", 1, 1, 5, None, NOW)
+    text = F.concat_ws("", *(F.sha2(F.concat("id", F.lit(str(i))), 256) for i in range(4)))
+    rows = session.range(0, 8000, 1, 4).crossJoin(F.broadcast(row)).withColumn("error_message", text).drop("id")
+    append_log(rows, layers)
+    assert files(spark, layers) > 3
+    stored = spark.table(f"{layers.run_log}_files")
+    assert stored.select("volume").distinct().count() == 1
+    assert spark.table(layers.run_log).select("error_message").distinct().count() == 8000 == stored.count()
+    write(spark, layers, "small")
+    assert runs(spark, layers) == Counter({("p", "r"): 8000, ("p", "small"): 1})

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.functions.columns import unescaped_partition
-from vintage.operators.upsert import overwrite, writer_session
+from vintage.operators.upsert import overwrite, replace_partitions, writer_session
 from vintage.session import shared_dir
 
 FAN = 64
@@ -66,7 +66,10 @@ def refresh(spark: SparkSession, table: str) -> None:
 
 def append(rows: DataFrame, table: str) -> None:
     """Add ``rows`` as a volume; they must come from a ``writer_session``."""
-    overwrite(rows.withColumn("volume", F.lit(f"{_OPEN}{uuid.uuid4().hex}")).coalesce(1), _files(table))
+    files = _files(table)
+    by = [c.name for c in rows.sparkSession.catalog.listColumns(files) if c.isPartition][0]
+    # A small append is one file a group, a large one several of the advisory size, each written by a task of its own.
+    replace_partitions(rows.withColumn("volume", F.lit(f"{_OPEN}{uuid.uuid4().hex}")), files, by, ("volume",))
 
 
 def _stored(session: SparkSession, table: str, by: str) -> list[tuple[str, str]]:
