@@ -4,7 +4,7 @@ import hashlib
 import struct
 import zlib
 from collections import Counter, defaultdict
-from itertools import pairwise
+from itertools import count, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -447,6 +447,31 @@ def test_word_tokenizer_takes_added_tokens_as_they_are_written():
     assert [flat[e - n : e].tolist() for e, n in zip(ends, counts, strict=True)] == [plain.word_ids(t)[:-1] for t in texts]
 
 
+def test_word_tokenizer_looks_each_word_of_a_chunk_up_once():
+    seen = []
+
+    class Known(defaultdict):
+        def __getitem__(self, key):
+            seen.append(key)
+            return super().__getitem__(key)
+
+    words = tokenfile.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    words.words.known = Known(count().__next__)
+    texts = ["a b. a a", None, " b. a\t\n", " \x0b"] * 50
+    flat, counts = words.encode([None if t is None else t.encode() for t in texts])
+    assert sorted(w for w in seen if w) == [b"a", b"b."]
+    assert flat.tolist() == [i for t in texts for i in plain.word_ids(t)[:-1]] and len(counts) == len(texts)
+
+
+def test_blocks_end_with_the_document_that_fills_them(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    docs = spark.createDataFrame([(i, "a b c") for i in range(40)], "doc_id long, text string").coalesce(1)
+    tokenfile.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), block_ids=10)
+    blocks = spark.read.parquet(path).collect()
+    assert sum(b["n_ids"] for b in blocks) == 160 and max(b["n_ids"] for b in blocks) == 12
+    assert sorted(d for b in blocks for d in b["doc_ids"]) == list(range(40))
+
+
 def test_token_files(spark, odd, tmp_path):
     for k, docs in enumerate(both(spark, odd)):
         path = str(tmp_path / f"tokens{k}")
