@@ -43,7 +43,7 @@ MAGIC, VERSION, STRIDE = 0x62385653, 1, 1024
 BLOCK_IDS = 1 << 18
 END_ID = 2
 CACHED_WORDS, CACHED_PARTS = 600_000, 1_000_000
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 GROUP = 500
 BLOCKS = "part int, place long, before long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
